@@ -95,3 +95,150 @@ FROM (SELECT segment, avg(CAST(Diabetes_Target >= 1 AS DOUBLE)) AS rate FROM pat
 def q_parity_difference(spark, d):
     p = fx.patients(spark, d)
     return fa.parity_difference(p, "segment", F.col("Diabetes_Target") >= 1)
+
+
+# ==================================================================== fidelity
+from cohortlens.operators import fidelity as fi  # noqa: E402
+
+FEAT = fx.LI_FEATURES
+NUM = fx.LI_NUMERIC
+
+
+@register("corr_matrix", with_views(
+    f"SELECT col_a, col_b, {sb.r6('corr')} AS corr FROM {sb.corr_long('real_li', FEAT)} c", "real_li"))
+def q_corr_matrix(spark, d):
+    return fi.correlation(fx.real_li(spark, d), FEAT).select("col_a", "col_b", fa_r6("corr"))
+
+
+def fa_r6(c):
+    from cohortlens.functions.expr import r6
+    return r6(F.col(c)).alias(c)
+
+
+@register("corr_mae", with_views(f"""
+SELECT {sb.br('avg(abs(coalesce(r.corr, 0.0) - coalesce(s.corr, 0.0)))', 4)} AS corr_matrix_mae
+FROM {sb.corr_long('real_li', FEAT)} r JOIN {sb.corr_long('synth_li', FEAT)} s USING (col_a, col_b)""",
+                                 "real_li", "synth_li"))
+def q_corr_mae(spark, d):
+    return fi.corr_mae(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT)
+
+
+def _pairs_in(cols):
+    return ", ".join(f"'{a}|{b}'" for i, a in enumerate(cols) for b in cols[i + 1:])
+
+
+@register("trend_core", with_views(f"""
+SELECT {sb.br('count_if(coalesce(sign(r.corr) = sign(s.corr), false)) / greatest(count(*), 1) * 100', 1)}
+         AS trend_accuracy_pct,
+       count_if(coalesce(sign(r.corr) = sign(s.corr), false)) AS pairs_matched, count(*) AS pairs_total
+FROM {sb.corr_long('real_li', FEAT)} r JOIN {sb.corr_long('synth_li', FEAT)} s USING (col_a, col_b)
+WHERE col_a || '|' || col_b IN ({_pairs_in(FEAT)})""", "real_li", "synth_li"))
+def q_trend_core(spark, d):
+    return fi.pairwise_trends(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT, "core")
+
+
+_TF = "coalesce((r.corr > 0 AND s.corr > 0) OR (r.corr < 0 AND s.corr < 0) OR (abs(r.corr) < 0.05 AND abs(s.corr) < 0.05), false)"  # noqa
+
+
+@register("trend_full", with_views(f"""
+SELECT {sb.br(f'count_if({_TF}) / greatest(count(*), 1) * 100', 1)} AS trend_accuracy_pct, count(*) AS pairs_checked
+FROM {sb.corr_long('real_li', FEAT)} r JOIN {sb.corr_long('synth_li', FEAT)} s USING (col_a, col_b)
+WHERE col_a || '|' || col_b IN ({_pairs_in(FEAT[:10])})""", "real_li", "synth_li"))
+def q_trend_full(spark, d):
+    return fi.pairwise_trends(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT, "full")
+
+
+@register("ks_stat", with_views(f"""
+SELECT feature, {sb.r6('ks_statistic')} AS ks_statistic, n_real, n_synth
+FROM {sb.ks_stats('real_li', 'synth_li', FEAT)} k""", "real_li", "synth_li"))
+def q_ks_stat(spark, d):
+    k = fi.ks_statistics(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT)
+    return k.select("feature", fa_r6("ks_statistic"), "n_real", "n_synth")
+
+
+@register("ks_pass_rate", with_views(f"""
+SELECT feature, {sb.br('ks_statistic', 4)} AS ks_statistic,
+       {sb.br(sb.ks_pvalue('k.ks_statistic', 'k.n_real', 'k.n_synth'), 4)} AS p_value,
+       {sb.br(sb.ks_pvalue('k.ks_statistic', 'k.n_real', 'k.n_synth'), 4)} > 0.05 AS passed
+FROM {sb.ks_stats('real_li', 'synth_li', FEAT)} k""", "real_li", "synth_li"))
+def q_ks_pass_rate(spark, d):
+    k = fi.ks_columns(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT)
+    return k.withColumn("passed", F.col("p_value") > 0.05)
+
+
+@register("shapes_core", with_views(f"""
+SELECT {sb.br('avg(ks)', 4)} AS avg_ks_statistic,
+       {sb.br('count_if(p > 0.05) / greatest(count(*), 1) * 100', 1)} AS columns_passed_pct
+FROM (SELECT round_even(ks_statistic, 4) AS ks,
+             round_even({sb.ks_pvalue('ks_statistic', 'n_real', 'n_synth')}, 4) AS p
+      FROM {sb.ks_stats('real_li', 'synth_li', FEAT)} k) t""", "real_li", "synth_li"))
+def q_shapes_core(spark, d):
+    return fi.column_shapes(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT, "core")
+
+
+@register("shapes_full", with_views(f"""
+SELECT {sb.br('avg(ks_statistic)', 4)} AS avg_ks_statistic, {sb.br('max(ks_statistic)', 4)} AS max_ks_statistic
+FROM {sb.ks_stats('real_li', 'synth_li', FEAT)} k""", "real_li", "synth_li"))
+def q_shapes_full(spark, d):
+    return fi.column_shapes(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT, "full")
+
+
+_RNG = """SELECT least(min(r.l_extendedprice), (SELECT min(l_extendedprice) FROM synth_li)) AS lo,
+                 greatest(max(r.l_extendedprice), (SELECT max(l_extendedprice) FROM synth_li)) AS hi FROM real_li r"""
+
+
+def _hist_sql(view, name):
+    return f"""(SELECT b AS bin, count(*) AS {name} FROM (
+      SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 30)), 29) AS INT) AS b
+      FROM {view}, rng WHERE l_extendedprice IS NOT NULL) x GROUP BY b)"""
+
+
+@register("histogram_overlay", with_views(f"""
+SELECT bin, {sb.r6('lo + bin * ((hi - lo) / 30)')} AS bin_lo, {sb.r6('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_hi,
+       coalesce(real_n, 0) AS real_n, coalesce(synth_n, 0) AS synth_n
+FROM (SELECT coalesce(r.bin, s.bin) AS bin, real_n, synth_n
+      FROM {_hist_sql('real_li', 'real_n')} r FULL OUTER JOIN {_hist_sql('synth_li', 'synth_n')} s ON r.bin = s.bin) j,
+     rng""", "real_li", "synth_li", ctes=[("rng", _RNG)]))
+def q_histogram_overlay(spark, d):
+    return fi.histogram_overlay(fx.real_li(spark, d), fx.synth_li(spark, d), "l_extendedprice", 30)
+
+
+@register("box_stats", with_views(f"""
+SELECT {sb.r6('min(l_extendedprice)')} AS min, {sb.r6('quantile_cont(l_extendedprice, 0.25)')} AS q1,
+       {sb.r6('quantile_cont(l_extendedprice, 0.5)')} AS median, {sb.r6('quantile_cont(l_extendedprice, 0.75)')} AS q3,
+       {sb.r6('max(l_extendedprice)')} AS max, {sb.r6('avg(l_extendedprice)')} AS mean FROM real_li""", "real_li"))
+def q_box_stats(spark, d):
+    return fi.box_stats(fx.real_li(spark, d), "l_extendedprice")
+
+
+@register("moments", with_views(f"""
+SELECT coalesce(r.feature, s.feature) AS feature, real_mean, real_std, synth_mean, synth_std FROM
+ (SELECT feature, {sb.r6('avg(value)')} AS real_mean, {sb.r6('stddev_samp(value)')} AS real_std
+  FROM ({sb.unpivot('real_li', NUM)}) u GROUP BY feature) r
+ FULL OUTER JOIN
+ (SELECT feature, {sb.r6('avg(value)')} AS synth_mean, {sb.r6('stddev_samp(value)')} AS synth_std
+  FROM ({sb.unpivot('synth_li', NUM)}) u GROUP BY feature) s ON r.feature = s.feature""", "real_li", "synth_li"))
+def q_moments(spark, d):
+    return fi.moments(fx.real_li(spark, d), fx.synth_li(spark, d), NUM)
+
+
+def _overlap_sql():
+    rng = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, least((SELECT min({c}) FROM real_li), (SELECT min({c}) FROM synth_li)) AS lo, "
+        f"greatest((SELECT max({c}) FROM real_li), (SELECT max({c}) FROM synth_li)) AS hi" for c in NUM)
+
+    def side(v, nm):
+        return f"""(SELECT feature, bin, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS {nm} FROM (
+          SELECT u.feature, CAST(least(floor((value - lo) / CASE WHEN hi > lo THEN (hi - lo) / 30 ELSE 1.0 END), 29)
+                 AS INT) AS bin
+          FROM ({sb.unpivot(v, NUM)}) u JOIN rng ON u.feature = rng.feature) x GROUP BY feature, bin)"""
+    return with_views(f"""
+SELECT coalesce(r.feature, s.feature) AS feature,
+       {sb.br('sum(least(coalesce(p, 0.0), coalesce(q, 0.0)))', 6)} AS overlap
+FROM {side('real_li', 'p')} r FULL OUTER JOIN {side('synth_li', 'q')} s ON r.feature = s.feature AND r.bin = s.bin
+GROUP BY 1""", "real_li", "synth_li", ctes=[("rng", rng)])
+
+
+@register("density_overlap", _overlap_sql())
+def q_density_overlap(spark, d):
+    return fi.density_overlap(fx.real_li(spark, d), fx.synth_li(spark, d), NUM)

@@ -32,3 +32,51 @@ def br(x: str, dp: int) -> str:
 
 def r6(x: str) -> str:
     return f"(round({x}, 6) + 0.0)"
+
+
+def corr_long(view: str, cols: list[str]) -> str:
+    """Long-form Pearson matrix (col_a, col_b, corr) as a subquery."""
+    aggs = [f"stddev_samp(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(cols)]
+    aggs += [f"covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c{i}_{j}"
+             for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
+    parts = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if i == j:
+                e = f"CASE WHEN s{i} > 0 THEN 1.0 ELSE NULL END"
+            else:
+                lo, hi = min(i, j), max(i, j)
+                e = f"CASE WHEN s{lo} * s{hi} = 0 THEN NULL ELSE c{lo}_{hi} / (s{lo} * s{hi}) END"
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST({e} AS DOUBLE) AS corr FROM agg")
+    return (f"(WITH agg AS (SELECT {', '.join(aggs)} FROM {view}) " + " UNION ALL ".join(parts) + ")")
+
+
+def unpivot(view: str, cols: list[str], side: int | None = None) -> str:
+    s = "" if side is None else f", {side} AS s"
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value{s} FROM {view} WHERE {c} IS NOT NULL"
+        for c in cols)
+
+
+def ks_stats(real: str, synth: str, cols: list[str]) -> str:
+    """(feature, ks_statistic, n_real, n_synth) subquery."""
+    return f"""(WITH u AS ({unpivot(real, cols, 0)} UNION ALL {unpivot(synth, cols, 1)}),
+  h AS (SELECT feature, value, sum(1 - s) AS cr, sum(s) AS cs FROM u GROUP BY feature, value),
+  c AS (SELECT feature,
+          sum(cr) OVER w / sum(cr) OVER (PARTITION BY feature) - sum(cs) OVER w / sum(cs) OVER (PARTITION BY feature)
+            AS gap,
+          sum(cr) OVER (PARTITION BY feature) AS nr, sum(cs) OVER (PARTITION BY feature) AS ns FROM h
+        WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  SELECT feature, max(abs(gap)) AS ks_statistic, CAST(max(nr) AS BIGINT) AS n_real,
+         CAST(max(ns) AS BIGINT) AS n_synth FROM c GROUP BY feature)"""
+
+
+def kolmogorov_sf(z: str) -> str:
+    series = (f"(SELECT 2.0 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * ({z}) * ({z}))) "
+              f"FROM range(1, 101) t(k))")
+    return f"(CASE WHEN ({z}) < 0.27 THEN 1.0 ELSE least(1.0, greatest(0.0, {series})) END)"
+
+
+def ks_pvalue(d: str, nr: str, ns: str) -> str:
+    en = f"(CAST({nr} AS DOUBLE) * CAST({ns} AS DOUBLE) / CAST({nr} + {ns} AS DOUBLE))"
+    return kolmogorov_sf(f"sqrt({en}) * {d}")
