@@ -73,7 +73,7 @@ def ks_stats(real: str, synth: str, cols: list[str]) -> str:
 
 def kolmogorov_sf(z: str) -> str:
     series = (f"(SELECT 2.0 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * ({z}) * ({z}))) "
-              f"FROM range(1, 101) t(k))")
+              f"FROM range(1, 101) t_k(k))")
     return f"(CASE WHEN ({z}) < 0.27 THEN 1.0 ELSE least(1.0, greatest(0.0, {series})) END)"
 
 
