@@ -130,10 +130,10 @@ def ks_columns(real: DataFrame, synth: DataFrame, cols: list[str], pvalue: bool
     """Per column KS statistic and p-value, both rounded to 4 dp (core
     report's per-column section)."""
     k = ks_statistics(real, synth, cols)
-    out = k.select("feature", br(F.col("ks_statistic"), 4).alias("ks_statistic"),
-                   *( [br(ks_pvalue(F.col("ks_statistic"), F.col("n_real"), F.col("n_synth")), 4)
-                       .alias("p_value")] if pvalue else []))
-    return out
+    if pvalue:  # p from the unrounded statistic (computed before the rounding projection)
+        k = k.withColumn("_p", ks_pvalue(F.col("ks_statistic"), F.col("n_real"), F.col("n_synth")))
+    return k.select("feature", br(F.col("ks_statistic"), 4).alias("ks_statistic"),
+                    *([br(F.col("_p"), 4).alias("p_value")] if pvalue else []))
 
 
 def column_shapes(real: DataFrame, synth: DataFrame, cols: list[str], profile: str = "core") -> DataFrame:
