@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.functions.quantiles import exact_quantiles
+
 # The reference's missingness threshold and clinical floors.
 MISSINGNESS_THRESHOLD = 0.05
 CLINICAL_FLOORS = {
@@ -124,13 +126,13 @@ def floor_violations(df: DataFrame, floors: dict[str, float] = CLINICAL_FLOORS)
 
 # ------------------------------------------------------------ P8 winsorize
 def percentile_bounds(df: DataFrame, cols: list[str], lower: float = 1, upper: float = 99) -> dict:
-    """Exact linear-interpolated percentiles (numpy ``nanpercentile``), all
-    columns in one aggregate. Returns {col: (lo, hi)} (small action)."""
+    """Exact linear-interpolated percentiles (numpy ``nanpercentile``) of all
+    columns, found by distributed histogram refinement (no single-task value
+    map). Returns {col: (lo, hi)} (small actions)."""
     if not cols:
         return {}
-    ps = F.array(F.lit(lower / 100.0), F.lit(upper / 100.0))
-    r = df.agg(*[F.percentile(F.col(c).cast("double"), ps).alias(c) for c in cols]).first()
-    return {c: (tuple(r[c]) if r[c] is not None else (None, None)) for c in cols}
+    q = exact_quantiles(df, cols, [lower / 100.0, upper / 100.0])
+    return {c: (q[c][0], q[c][1]) for c in cols}
 
 
 def clip_expr(c: Column, lo, hi) -> Column:
@@ -164,16 +166,24 @@ def keyword_flags(df: DataFrame, col: str, keywords: dict[str, str], drop: bool
 
 
 # ------------------------------------------------------ A3 / I1 median & mode
+def column_mode(df: DataFrame, col: str) -> DataFrame:
+    """One-row mode of ``col``: highest count, smallest value among ties.
+    Two-stage (per-value counts, then ``min_by`` over them), so a
+    high-cardinality column never sits in one task's map."""
+    h = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return h.agg(F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v").alias("v"))).alias("mode"))
+
+
 def medians_and_modes(df: DataFrame, num: list[str], cat: list[str]) -> dict:
     """Exact median per numeric column; mode per categorical column with the
-    smallest value winning ties ('Unknown' when all NULL). One aggregate."""
-    aggs = [F.median(F.col(c).cast("double")).alias(c) for c in num]
-    aggs += [F.mode(F.col(c), True).alias(c) for c in cat]
-    if not aggs:
-        return {}
-    r = df.agg(*aggs).first()
-    out = {c: r[c] for c in num}
-    out.update({c: (r[c] if r[c] is not None else "Unknown") for c in cat})
+    smallest value winning ties ('Unknown' when all NULL)."""
+    out = {}
+    if num:
+        q = exact_quantiles(df, num, [0.5])
+        out.update({c: q[c][0] for c in num})
+    for c in cat:
+        m = column_mode(df, c).first()["mode"]
+        out[c] = m if m is not None else "Unknown"
     return out
 
 

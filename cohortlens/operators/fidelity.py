@@ -190,12 +190,14 @@ def histogram_overlay(real: DataFrame, synth: DataFrame, col: str, nbins: int =
 
 
 def box_stats(df: DataFrame, col: str) -> DataFrame:
-    """min, q1, median, q3, max, mean (linear-interpolated quartiles)."""
+    """min, q1, median, q3, max, mean (linear-interpolated quartiles, exact)."""
+    from cohortlens.functions.quantiles import exact_quantiles
+    q = exact_quantiles(df, [col], [0.25, 0.5, 0.75])[col]
     x = F.col(col).cast("double")
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(F.min(x).alias("mn"), q.alias("q"), F.max(x).alias("mx"), F.avg(x).alias("mean")).select(
-        r6(F.col("mn")).alias("min"), r6(F.col("q")[0]).alias("q1"), r6(F.col("q")[1]).alias("median"),
-        r6(F.col("q")[2]).alias("q3"), r6(F.col("mx")).alias("max"), r6(F.col("mean")).alias("mean"))
+    a = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.avg(x).alias("mean"))
+    lit = lambda v: F.lit(v).cast("double")
+    return a.select(r6(F.col("mn")).alias("min"), r6(lit(q[0])).alias("q1"), r6(lit(q[1])).alias("median"),
+                    r6(lit(q[2])).alias("q3"), r6(F.col("mx")).alias("max"), r6(F.col("mean")).alias("mean"))
 
 
 def density_overlap(real: DataFrame, synth: DataFrame, cols: list[str], nbins: int = 30) -> DataFrame:
