@@ -29,7 +29,7 @@ def register(name: str, sql: str | None = None):
 
 def _load():
     # import for side effects (registration)
-    from cohortlens.plans import (q_clean, q_metrics, q_cohort, q_fhir,  # noqa: F401
+    from cohortlens.plans import (q_clean, q_metrics, q_privacy, q_cohort, q_fhir,  # noqa: F401
                                   q_encode, q_ml, q_reports, q_synth)
 
 
