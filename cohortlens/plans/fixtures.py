@@ -100,6 +100,56 @@ def requests(spark: SparkSession, d: str) -> DataFrame:
     return c.select(k.alias("request_id"), text.alias("prompt"))
 
 
+def bundles(spark: SparkSession, d: str) -> DataFrame:
+    """One FHIR Bundle (JSON text, parsed back with the explicit schema) per
+    ``events.user_id``: a Patient entry, then one entry per event in
+    event_id order (view → Body Weight, click → Heart rate, purchase → BP
+    panel, error → smoking status, signup → Condition)."""
+    from cohortlens.sources.fhir import bundle_json, bundles_from_json
+    ev = table(spark, d, "events")
+    u = F.col("user_id")
+    users = ev.select("user_id").distinct()
+    race_ext = F.array(F.struct(
+        F.lit("http://hl7.org/fhir/us/core/StructureDefinition/us-core-race").alias("url"),
+        F.array(F.struct(F.lit("text").alias("url"), F.concat(F.lit("race"), (u % 3).cast("string"))
+                         .alias("valueString"))).alias("extension")))
+    patient = F.struct(
+        F.lit("Patient").alias("resourceType"), u.cast("string").alias("id"),
+        F.when(u % 2 == 0, "male").otherwise("female").alias("gender"),
+        F.when(u % 40 == 0, F.lit("not-a-date")).otherwise(
+            F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (u * 37).cast("int")), "yyyy-MM-dd"))
+        .alias("birthDate"),
+        F.when(u % 5 == 0, F.lit(None)).otherwise(
+            F.struct(F.when(u % 2 == 0, "M").otherwise("S").alias("text"))).alias("maritalStatus"),
+        race_ext.alias("extension"))
+    pe = users.select("user_id", F.lit(-1).cast("bigint").alias("event_id"),
+                      F.to_json(F.struct(patient.alias("resource"))).alias("js"))
+    et, e, v = F.col("event_type"), F.col("event_id"), F.col("value")
+    obs = lambda text, **kw: F.struct(F.lit("Observation").alias("resourceType"),
+                                      F.struct(F.lit(text).alias("text")).alias("code"),
+                                      *[c.alias(k) for k, c in kw.items()])
+    tj = lambda r: F.to_json(F.struct(r.alias("resource")))
+    comp = lambda name, x: F.struct(F.struct(F.lit(name).alias("text")).alias("code"),
+                                    F.struct(x.alias("value")).alias("valueQuantity"))
+    weight = obs("Body Weight", valueQuantity=F.struct(v.alias("value")))
+    heart = obs("Heart rate", valueQuantity=F.struct(v.alias("value")))
+    bp = obs("Blood pressure panel with all children optional",
+             component=F.array(comp("Systolic Blood Pressure", v), comp("Diastolic Blood Pressure", v / 2)))
+    smoke = obs("Tobacco smoking status", valueString=F.concat(F.lit("s"), (e % 3).cast("string")))
+    cond = F.struct(
+        F.lit("Condition").alias("resourceType"),
+        F.struct(F.array(F.struct(F.when(e % 2 == 0, "active").otherwise("resolved").alias("code"))).alias("coding"))
+        .alias("clinicalStatus"),
+        F.struct(F.concat(F.lit("Finding "), (e % 25).cast("string"), F.lit(" (disorder)")).alias("text")).alias("code"))
+    res = (F.when(et == "view", tj(weight)).when(et == "click", tj(heart)).when(et == "purchase", tj(bp))
+           .when(et == "error", tj(smoke)).when(et == "signup", tj(cond)))
+    ee = ev.select("user_id", "event_id", res.alias("js")).where(F.col("js").isNotNull())
+    docs = (pe.unionByName(ee).groupBy("user_id")
+            .agg(F.sort_array(F.collect_list(F.struct("event_id", "js"))).alias("es"))
+            .select("user_id", bundle_json(F.transform("es", lambda x: x["js"])).alias("doc")))
+    return bundles_from_json(docs, "doc", "user_id")
+
+
 def emb_split(spark: SparkSession, d: str, parity: int) -> DataFrame:
     e = table(spark, d, "embeddings")
     return e.where(F.col("vec_id") % 2 == parity).select(
