@@ -60,18 +60,20 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
         open_t = [(k, t) for k, t in targets.items() if t["value"] is None and t["cnt"] > max_collect]
         if not open_t:
             break
-        tid = F.lit(None).cast("int")
-        bexpr = F.lit(None).cast("int")
         keys = list(enumerate(open_t))
+        # per-target arrays (column id, range, bucket width) — flat expressions, no CASE chains
+        tc = F.array(*[F.lit(ci) for _, ((ci, _r), _t) in keys])
+        tlo = F.array(*[F.lit(float(t["lo"])) for _, (_k, t) in keys])
+        thi = F.array(*[F.lit(float(t["hi"])) for _, (_k, t) in keys])
+        tw = F.array(*[F.lit(float((t["hi"] - t["lo"]) / buckets)) for _, (_k, t) in keys])
+        x = F.col("x")
         # a row may sit in several targets' ranges: emit one row per target
-        arr = F.array(*[F.when((F.col("ci") == ci) & (F.col("x") >= t["lo"]) & (F.col("x") <= t["hi"]),
-                               F.lit(j)) for j, ((ci, _r), t) in keys])
-        e = u.select("x", F.explode(F.filter(arr, lambda v: v.isNotNull())).alias("t"))
-        for j, ((_ci, _r), t) in keys:
-            w = (t["hi"] - t["lo"]) / buckets
-            b = F.least(F.floor((F.col("x") - F.lit(t["lo"])) / F.lit(w)), F.lit(buckets - 1)).cast("int")
-            bexpr = F.when(F.col("t") == j, b) if j == 0 else bexpr.when(F.col("t") == j, b)
-        del tid
+        ids = F.filter(F.sequence(F.lit(0), F.lit(len(keys) - 1)),
+                       lambda j: (F.element_at(tc, j + 1) == F.col("ci")) & (x >= F.element_at(tlo, j + 1))
+                       & (x <= F.element_at(thi, j + 1)))
+        e = u.select("x", F.explode(ids).alias("t"))
+        bexpr = F.least(F.floor((F.col("x") - F.element_at(tlo, F.col("t") + 1)) / F.element_at(tw, F.col("t") + 1)),
+                        F.lit(buckets - 1)).cast("int")
         h = (e.groupBy("t", bexpr.alias("b"))
              .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
         by_t: dict[int, list] = {}
@@ -88,10 +90,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     # final: fetch the (bounded) values left in each open range
     open_t = [(k, t) for k, t in targets.items() if t["value"] is None]
     if open_t:
-        cond = None
-        for (ci, _r), t in open_t:
-            c1 = (F.col("ci") == ci) & (F.col("x") >= t["lo"]) & (F.col("x") <= t["hi"])
-            cond = c1 if cond is None else (cond | c1)
+        fc = F.array(*[F.lit(ci) for (ci, _r), _t in open_t])
+        flo = F.array(*[F.lit(float(t["lo"])) for _k, t in open_t])
+        fhi = F.array(*[F.lit(float(t["hi"])) for _k, t in open_t])
+        cond = F.exists(F.sequence(F.lit(1), F.lit(len(open_t))),
+                        lambda j: (F.element_at(fc, j) == F.col("ci")) & (F.col("x") >= F.element_at(flo, j))
+                        & (F.col("x") <= F.element_at(fhi, j)))
         rows = u.where(cond).collect()
         by_c: dict[int, list[float]] = {}
         for row in rows:
@@ -113,3 +117,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
             res.append(a + (b - a) * (pos - lo_r))
         out[c] = res
     return out
+
+
+def sorted_count(grid, x, strict: bool = True, max_len: int = 1 << 20):
+    """Number of elements of the sorted array column ``grid`` that are < x
+    (``strict``) or ≤ x, by binary search in a lambda (O(log n) per row)."""
+    import math as _m
+    n = F.size(grid)
+    steps = F.lit(max(1, _m.ceil(_m.log2(max_len + 1)) + 1))  # iterations after convergence are no-ops
+
+    def step(acc, _i):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        v = F.element_at(grid, mid + 1)
+        go_right = (v < x) if strict else (v <= x)
+        return F.when(lo < hi, F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+                      .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))).otherwise(acc)
+    init = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), steps), init, step)["lo"]
