@@ -60,15 +60,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
         open_t = [(k, t) for k, t in targets.items() if t["value"] is None and t["cnt"] > max_collect]
         if not open_t:
             break
-        keys = list(enumerate(open_t))
-        # per-target arrays (column id, range, bucket width) — flat expressions, no CASE chains
-        tc = F.array(*[F.lit(ci) for _, ((ci, _r), _t) in keys])
-        tlo = F.array(*[F.lit(float(t["lo"])) for _, (_k, t) in keys])
-        thi = F.array(*[F.lit(float(t["hi"])) for _, (_k, t) in keys])
-        tw = F.array(*[F.lit(float((t["hi"] - t["lo"]) / buckets)) for _, (_k, t) in keys])
+        # targets that share a range share one histogram (initially one per column)
+        groups: dict[tuple, list] = {}
+        for k, t in open_t:
+            groups.setdefault((k[0], t["lo"], t["hi"]), []).append((k, t))
+        gkeys = list(groups)
+        tc = F.array(*[F.lit(ci) for ci, _lo, _hi in gkeys])
+        tlo = F.array(*[F.lit(float(lo)) for _ci, lo, _hi in gkeys])
+        thi = F.array(*[F.lit(float(hi)) for _ci, _lo, hi in gkeys])
+        tw = F.array(*[F.lit(float((hi - lo) / buckets)) for _ci, lo, hi in gkeys])
         x = F.col("x")
-        # a row may sit in several targets' ranges: emit one row per target
-        ids = F.filter(F.sequence(F.lit(0), F.lit(len(keys) - 1)),
+        # a row may sit in several ranges: emit one row per range
+        ids = F.filter(F.sequence(F.lit(0), F.lit(len(gkeys) - 1)),
                        lambda j: (F.element_at(tc, j + 1) == F.col("ci")) & (x >= F.element_at(tlo, j + 1))
                        & (x <= F.element_at(thi, j + 1)))
         e = u.select("x", F.explode(ids).alias("t"))
@@ -79,13 +82,15 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
         by_t: dict[int, list] = {}
         for row in h:
             by_t.setdefault(row["t"], []).append(row)
-        for j, ((_ci, r), t) in keys:
-            acc = t["below"]
-            for row in sorted(by_t.get(j, []), key=lambda z: z["b"]):
-                if acc + row["n"] > r:
-                    t.update(lo=row["mn"], hi=row["mx"], below=acc, cnt=row["n"])
-                    break
-                acc += row["n"]
+        for j, g in enumerate(gkeys):
+            hist = sorted(by_t.get(j, []), key=lambda z: z["b"])
+            for (_ci, r), t in groups[g]:
+                acc = t["below"]
+                for row in hist:
+                    if acc + row["n"] > r:
+                        t.update(lo=row["mn"], hi=row["mx"], below=acc, cnt=row["n"])
+                        break
+                    acc += row["n"]
         settle()
     # final: fetch the (bounded) values left in each open range
     open_t = [(k, t) for k, t in targets.items() if t["value"] is None]

@@ -47,11 +47,20 @@ def const_array(values, typ: str) -> Column:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's checkpoint folder."""
+    """Reliable checkpoint into the cluster's checkpoint folder: cuts the
+    lineage and freezes the rows (used where positions must not change on
+    recomputation, and in iterative loops)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep an intermediate that several branches read (memory, spilling to
+    disk). Lost blocks are recomputed from lineage."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def standardize_stats(real: DataFrame, cols: list[str]) -> tuple[list[float], list[float]]:
     """Real mean and ddof-1 std per column (std 0 or undefined → 1)."""
     r = real.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -119,52 +128,74 @@ def leaf_expr(v: Column, dims: list[int], vals: list[float], depth: int) -> Colu
 
 
 # --------------------------------------------------------- leaf-local search
-def _nn_group(_key, r: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-    """Exact min squared distance (and the payload of the nearest real row,
-    smallest payload among ties) for each query vector of one leaf chunk."""
-    if len(q) == 0:
-        return pd.DataFrame({"v": pd.Series([], dtype=object), "leaf": pd.Series([], dtype="int32"),
-                             "d2": pd.Series([], dtype="float64"), "p": pd.Series([], dtype=object)})
-    Q = np.array(q["v"].tolist(), dtype=np.float64)
-    d2 = np.full(len(Q), np.inf)
-    pay = np.full(len(Q), None, dtype=object)
-    if len(r):
-        r = r.sort_values("p", kind="stable", na_position="last")
-        R = np.array(r["v"].tolist(), dtype=np.float64)
-        P = r["p"].to_numpy(dtype=object)
-        dim = max(1, R.shape[1])
-        qb = max(1, min(len(Q), _BLOCK // max(1, len(R) * dim)))
-        for i in range(0, len(Q), qb):
-            blk = Q[i:i + qb]
-            rb = max(1, _BLOCK // (len(blk) * dim))
-            best = np.full(len(blk), np.inf)
-            arg = np.zeros(len(blk), dtype=np.int64)
-            for j in range(0, len(R), rb):
-                diff = blk[:, None, :] - R[None, j:j + rb, :]
-                dd = np.einsum("ijk,ijk->ij", diff, diff)
-                a = dd.argmin(axis=1)
-                m = dd[np.arange(len(blk)), a]
-                upd = m < best            # strict: earlier (smaller payload) wins ties
-                best = np.where(upd, m, best)
-                arg = np.where(upd, a + j, arg)
-            d2[i:i + qb] = best
-            pay[i:i + qb] = P[arg]
-    return pd.DataFrame({"v": q["v"], "leaf": q["leaf"].astype("int32"), "d2": d2, "p": pay})
-
-
-_NN_SCHEMA = "v array<double>, leaf int, d2 double, p string"
-
-
-def _leaf_search(real_leaf: DataFrame, queries: DataFrame, chunk: int) -> DataFrame:
-    """min squared distance of every (v, leaf) query to the real rows of that
-    leaf; queries of a leaf are salted into ≤ ``chunk``-row groups."""
+def exact_nearest(Q: np.ndarray, R: np.ndarray, block: int = _BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Exact min squared distance from each row of Q to the rows of R and
+    the first index attaining it. A BLAS expansion |q|²+|r|²−2q·r shortlists
+    every r within a tolerance far above its rounding error of the
+    expanded minimum; the shortlist is then recomputed by direct
+    differences, so the result equals a brute-force search."""
+    qn = np.einsum("ij,ij->i", Q, Q)
+    rn = np.einsum("ij,ij->i", R, R)
+    rmax = rn.max() if len(rn) else 0.0
+    out_d = np.full(len(Q), np.inf)
+    out_i = np.zeros(len(Q), dtype=np.int64)
+    qb = max(1, min(len(Q), block // max(1, len(R))))
+    for i in range(0, len(Q), qb):
+        blk = Q[i:i + qb]
+        D = qn[i:i + qb, None] + rn[None, :] - 2.0 * (blk @ R.T)
+        m = D.min(axis=1)
+        tol = 1e-9 * (qn[i:i + qb] + rmax + 1.0)
+        qi, ri = np.nonzero(D <= (m + tol)[:, None])
+        diff = blk[qi] - R[ri]
+        ex = np.einsum("ij,ij->i", diff, diff)
+        order = np.lexsort((ri, ex, qi))        # per query: smallest distance, then smallest index
+        qi, ri, ex = qi[order], ri[order], ex[order]
+        first = np.ones(len(qi), dtype=bool)
+        first[1:] = qi[1:] != qi[:-1]
+        out_d[i + qi[first]] = ex[first]
+        out_i[i + qi[first]] = ri[first]
+    return out_d, out_i
+
+
+def _nn_fn(zc: list[str]):
+    """Per (leaf, chunk) group: exact min squared distance of each query to
+    the group's real rows, plus the payload of the nearest one (smallest
+    payload among equidistant rows). Vectors arrive as plain double columns
+    (zero-copy Arrow → numpy)."""
+    def fn(_key, r: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0:
+            return pd.DataFrame({**{c: pd.Series([], dtype="float64") for c in zc},
+                                 "leaf": pd.Series([], dtype="int32"), "d2": pd.Series([], dtype="float64"),
+                                 "p": pd.Series([], dtype=object)})
+        Q = q[zc].to_numpy(dtype=np.float64)
+        d2 = np.full(len(Q), np.inf)
+        pay = np.full(len(Q), None, dtype=object)
+        if len(r):
+            r = r.sort_values("p", kind="stable", na_position="last")
+            R = r[zc].to_numpy(dtype=np.float64)
+            P = r["p"].to_numpy(dtype=object)
+            d2[:], arg = exact_nearest(Q, R)
+            pay[:] = P[arg]
+        out = q[zc].copy()
+        out["leaf"] = q["leaf"].astype("int32").to_numpy()
+        out["d2"] = d2
+        out["p"] = pay
+        return out
+    return fn
+
+
+def _leaf_search(real_leaf: DataFrame, queries: DataFrame, zc: list[str], chunk: int) -> DataFrame:
+    """min squared distance of every (z…, leaf) query to the real rows of
+    that leaf; queries of a leaf are salted into ≤ ``chunk``-row groups and
+    the leaf's real rows replicated per salt."""
     cnt = queries.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("nch"))
     cnt = F.broadcast(cnt)  # ≤ 2^depth ≤ 4096 rows
-    q = queries.join(cnt, "leaf").withColumn("ch", F.pmod(F.xxhash64("v"), F.col("nch")).cast("int"))
+    q = queries.join(cnt, "leaf").withColumn("ch", F.pmod(F.xxhash64(*zc), F.col("nch")).cast("int"))
     r = real_leaf.join(cnt, "leaf").withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("nch") - 1)))
-    return (r.select("leaf", "ch", "v", "p").groupBy("leaf", "ch")
-            .cogroup(q.select("leaf", "ch", "v").groupBy("leaf", "ch"))
-            .applyInPandas(_nn_group, _NN_SCHEMA))
+    schema = ", ".join(f"{c} double" for c in zc) + ", leaf int, d2 double, p string"
+    return (r.select("leaf", "ch", *zc, "p").groupBy("leaf", "ch")
+            .cogroup(q.select("leaf", "ch", *zc).groupBy("leaf", "ch"))
+            .applyInPandas(_nn_fn(zc), schema))
 
 
 def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None = None,
@@ -180,7 +211,9 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
     ``stats``: (means, stds) to standardise with instead of real's own."""
     keep = list(keep or [])
     if vector_col:
-        rv, sv = F.col(vector_col).cast("array<double>"), F.col(vector_col).cast("array<double>")
+        dim = real.select(F.max(F.size(vector_col))).first()[0] or 0
+        zc = [f"_z{i}" for i in range(dim)]
+        zr = zs = [F.col(vector_col).cast("array<double>")[i].alias(c) for i, c in enumerate(zc)]
     else:
         if stats is not None:
             means, stds = stats
@@ -188,54 +221,76 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
             means, stds = standardize_stats(real, cols)
         else:
             means, stds = [0.0] * len(cols), [1.0] * len(cols)
-        rv, sv = zvector(cols, means, stds), zvector(cols, means, stds)
+        dim = len(cols)
+        zc = [f"_z{i}" for i in range(dim)]
+        zr = zs = [((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(z)
+                   for c, m, s, z in zip(cols, means, stds, zc)]
+    valid = F.lit(True)
+    for c in zc:
+        valid = valid & F.col(c).isNotNull() & ~F.isnan(F.col(c))
     pcol = F.col(payload).cast("string") if payload else F.lit(None).cast("string")
-    R = materialize(real.select(rv.alias("v"), pcol.alias("p")).where(_valid(F.col("v")))
-                    .groupBy("v").agg(F.min("p").alias("p")))
+    R = reuse(real.select(*zr, pcol.alias("p")).where(valid).groupBy(*zc).agg(F.min("p").alias("p")))
     n = R.count()
-    S = synth.select(*keep, sv.alias("v"))
-    if n == 0:
-        return S.select(*keep, F.lit(None).cast("double").alias("dcr"),
-                        F.lit(None).cast("string").alias("nn_payload"))
-    dim = len(R.first()["v"])
+    S = synth.select(*keep, *zs)
+    if n == 0 or dim == 0:
+        out = S.select(*keep, F.lit(None).cast("double").alias("dcr"), F.lit(None).cast("string").alias("nn_payload"))
+        return out if payload else out.drop("nn_payload")
     depth = 0 if n <= leaf_size else min(12, math.ceil(math.log2(n / leaf_size)))
     L = 2 ** depth
     target = min(n, max(4096, 32 * L))
-    sample = R.sample(fraction=min(1.0, 1.2 * target / n), seed=seed).collect() if depth else []
-    pts = np.array([row["v"] for row in sample], dtype=np.float64).reshape(-1, dim)
+    sample = R.sample(fraction=min(1.0, 1.2 * target / n), seed=seed).select(*zc).collect() if depth else []
+    pts = np.array([list(row) for row in sample], dtype=np.float64).reshape(-1, dim)
     dims, vals = build_kdtree(pts, depth)
-    RL = materialize(R.withColumn("leaf", leaf_expr(F.col("v"), dims, vals, depth)))
-    # tight bounding boxes of the real rows per leaf (L × dims numbers)
-    bx = RL.groupBy("leaf").agg(F.array(*[F.min(F.col("v")[j]) for j in range(dim)]).alias("lo"),
-                                F.array(*[F.max(F.col("v")[j]) for j in range(dim)]).alias("hi")).collect()
-    lo, hi, ok = [0.0] * (L * dim), [0.0] * (L * dim), [False] * L
-    for row in bx:
-        i = row["leaf"]
-        ok[i] = True
-        lo[i * dim:(i + 1) * dim], hi[i * dim:(i + 1) * dim] = list(row["lo"]), list(row["hi"])
-    SV = materialize(S.select("v").where(_valid(F.col("v"))).dropDuplicates(["v"])
-                     .withColumn("leaf", leaf_expr(F.col("v"), dims, vals, depth)))
-    p1 = materialize(_leaf_search(RL, SV, chunk))
-    best = p1.select("v", "d2", "p")
+    vec = F.array(*[F.col(c) for c in zc])
+    RL = R.withColumn("leaf", leaf_expr(vec, dims, vals, depth))
+    SV = S.select(*zc).where(valid).dropDuplicates(zc).withColumn("leaf", leaf_expr(vec, dims, vals, depth))
+    p1 = _leaf_search(RL, SV, zc, chunk)
+    best = p1.select(*zc, "d2", "p")
     if L > 1:
-        lo_a, hi_a, ok_a = const_array(lo, "double"), const_array(hi, "double"), const_array(ok, "boolean")
-        v = F.col("v")
-
-        def box_d2(i):
-            return F.aggregate(
-                F.sequence(F.lit(0), F.lit(dim - 1)), F.lit(0.0),
-                lambda acc, j: acc + F.pow(F.greatest(
-                    F.element_at(lo_a, i * dim + j + 1) - F.element_at(v, j + 1),
-                    F.element_at(v, j + 1) - F.element_at(hi_a, i * dim + j + 1), F.lit(0.0)), 2))
-
-        bound = F.col("d2") * F.lit(1 + 1e-9) + F.lit(1e-12)
-        cands = F.filter(F.sequence(F.lit(0), F.lit(L - 1)),
-                         lambda i: (i != F.col("leaf")) & F.element_at(ok_a, i + 1) & (box_d2(i) < bound))
-        cand = materialize(p1.select("v", F.explode(cands).alias("leaf")))
-        best = best.unionByName(_leaf_search(RL, cand, chunk).select("v", "d2", "p"))
-    best = best.groupBy("v").agg(F.min(F.struct("d2", "p")).alias("b"))
-    out = S.join(best, "v", "left").select(*keep, F.sqrt(F.col("b.d2")).alias("dcr"),
-                                           F.col("b.p").alias("nn_payload"))
+        p1 = reuse(p1)
+        best = p1.select(*zc, "d2", "p")
+        # tight bounding boxes of the real rows per leaf (L × dims numbers)
+        bx = RL.groupBy("leaf").agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(zc)],
+                                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(zc)]).collect()
+        lo_n, hi_n, ok_n = np.zeros((L, dim)), np.zeros((L, dim)), np.zeros(L, dtype=bool)
+        for row in bx:
+            i = row["leaf"]
+            ok_n[i] = True
+            lo_n[i] = [row[f"lo{j}"] for j in range(dim)]
+            hi_n[i] = [row[f"hi{j}"] for j in range(dim)]
+
+        def candidates(batches):
+            """Leaves (other than home) whose box is closer than the pass-1
+            distance — vectorised over (query × leaf × dim) blocks."""
+            for pdf in batches:
+                if len(pdf) == 0:
+                    continue
+                Q = pdf[zc].to_numpy(dtype=np.float64)
+                bound = pdf["d2"].to_numpy() * (1 + 1e-9) + 1e-12
+                home = pdf["leaf"].to_numpy()
+                step = max(1, 2_000_000 // (L * dim))
+                qi_all, li_all = [], []
+                for i in range(0, len(Q), step):
+                    q = Q[i:i + step]
+                    gap = np.maximum(np.maximum(lo_n[None, :, :] - q[:, None, :], q[:, None, :] - hi_n[None, :, :]), 0)
+                    bd2 = (gap * gap).sum(axis=2)
+                    m = (bd2 < bound[i:i + step, None]) & ok_n[None, :]
+                    m[np.arange(len(q)), home[i:i + step]] = False
+                    qi, li = np.nonzero(m)
+                    qi_all.append(qi + i)
+                    li_all.append(li)
+                qi = np.concatenate(qi_all)
+                li = np.concatenate(li_all)
+                out = pdf[zc].iloc[qi].reset_index(drop=True)
+                out["leaf"] = li.astype("int32")
+                yield out
+
+        cand = p1.select(*zc, "leaf", "d2").mapInPandas(
+            candidates, ", ".join(f"{c} double" for c in zc) + ", leaf int")
+        best = best.unionByName(_leaf_search(RL, cand, zc, chunk).select(*zc, "d2", "p"))
+    best = best.groupBy(*zc).agg(F.min(F.struct("d2", "p")).alias("b"))
+    out = S.join(best, zc, "left").select(*keep, F.sqrt(F.col("b.d2")).alias("dcr"),
+                                          F.col("b.p").alias("nn_payload"))
     return out if payload else out.drop("nn_payload")
 
 
@@ -346,7 +401,7 @@ def _size_bucket(k: Column) -> Column:
 def k_anonymity(df: DataFrame, qis: list[str], profile: str = "core") -> DataFrame:
     """One-row k-anonymity summary; distribution columns count *groups*
     (core) or *records* (full) per size bucket 1-5, 6-10, 11-20, 21-50, 51+."""
-    g = materialize(k_groups(df, qis, profile))
+    g = reuse(k_groups(df, qis, profile))
     k = F.col("k")
     unit = F.lit(1) if profile == "core" else k
     dist = [F.sum(F.when(_size_bucket(k) == b, unit).otherwise(0)).cast("bigint").alias(n)
