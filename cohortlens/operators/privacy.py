@@ -288,9 +288,9 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
         cand = p1.select(*zc, "leaf", "d2").mapInPandas(
             candidates, ", ".join(f"{c} double" for c in zc) + ", leaf int")
         best = best.unionByName(_leaf_search(RL, cand, zc, chunk).select(*zc, "d2", "p"))
-    best = best.groupBy(*zc).agg(F.min(F.struct("d2", "p")).alias("b"))
-    out = S.join(best, zc, "left").select(*keep, F.sqrt(F.col("b.d2")).alias("dcr"),
-                                          F.col("b.p").alias("nn_payload"))
+    best = best.groupBy(*zc).agg(F.min(F.struct("d2", "p")).alias("_best"))
+    out = S.join(best, zc, "left").select(*keep, F.sqrt(F.col("_best.d2")).alias("dcr"),
+                                          F.col("_best.p").alias("nn_payload"))
     return out if payload else out.drop("nn_payload")
 
 

@@ -256,17 +256,24 @@ _NUMS = ["Sex", "Age", "Diabetes_Target", "Has_Hypertension", "Has_Hypothyroidis
 
 
 def _gen_sql():
+    """Both sampling regimes: the n first rows in hash order when enough
+    rows match, else n draws with replacement over the hash-ordered ranks."""
     h = sql_hash_uniform(42, ["patient_id"])
-    sample = (f"SELECT *, row_number() OVER (ORDER BY {h}, patient_id) - 1 AS draw FROM patients "
-              f"WHERE {_GEN_WHERE} ORDER BY {h}, patient_id LIMIT {_GEN_N}")
+    ranked = f"SELECT *, row_number() OVER (ORDER BY {h}, patient_id) - 1 AS rk FROM patients WHERE {_GEN_WHERE}"
+    cols = "patient_id, Sex, Age, Diabetes_Target, Has_Hypertension, Has_Hypothyroidism, bmi_like, segment"
+    sample = (f"SELECT {cols}, rk AS draw FROM ranked, mc WHERE mc.m >= {_GEN_N} AND rk < {_GEN_N} "
+              f"UNION ALL SELECT {', '.join('r.' + c.strip() for c in cols.split(','))}, d.i AS draw "
+              f"FROM range({_GEN_N}) d(i), mc, ranked r WHERE mc.m < {_GEN_N} "
+              f"AND r.rk = CAST(floor({sql_hash_uniform(42, ['d.i'], 'draw')} * mc.m) AS BIGINT)")
     st = "SELECT " + ", ".join(f"stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in _NUMS) + " FROM smp"
-    cols = []
+    out = []
     for c in _NUMS:
         noise = f"CASE WHEN s_{c} > 0 THEN {sql_hash_normal(42, ['draw'], 'n' + c)} * (s_{c} * 0.05) ELSE 0.0 END"
         x = f"(CAST({c} AS DOUBLE) + {noise})"
-        cols.append(f"CAST(round_even({x}, 0) AS BIGINT) AS {c}" if c != "bmi_like" else f"{sb.r6(x)} AS {c}")
-    body = f"SELECT patient_id, {', '.join(cols)}, segment, draw FROM smp, st"
-    return with_views(body, "patients", ctes=[("smp", sample), ("st", st)])
+        out.append(f"CAST(round_even({x}, 0) AS BIGINT) AS {c}" if c != "bmi_like" else f"{sb.r6(x)} AS {c}")
+    body = f"SELECT patient_id, {', '.join(out)}, segment, draw FROM smp, st"
+    return with_views(body, "patients", ctes=[("ranked", ranked), ("mc", "SELECT count(*) AS m FROM ranked"),
+                                              ("smp", sample), ("st", st)])
 
 
 @register("generate_perturbed", _gen_sql())

@@ -32,8 +32,8 @@ def test_full_histogram_counts_records(spark):
 
 def test_core_histogram_counts_groups(spark):
     # 60 groups, k_mean × groups = rows (the 8047 = 60 × 134.12 identity)
-    rows = [(g,) for g in range(60) for _ in range(3 if g < 8 else 150)]
-    df = spark.createDataFrame(rows, "g int")
+    rows = [(f"g{g}",) for g in range(60) for _ in range(3 if g < 8 else 150)]
+    df = spark.createDataFrame(rows, "g string")  # categorical QI: not binned
     r = pv.k_anonymity(df, ["g"], "core").first()
     assert r["d_1_5"] == 8 and r["d_51_plus"] == 52
     assert round(r["k_mean"] * 60) == len(rows)

@@ -37,7 +37,7 @@ def test_report_json_roundtrip(spark):
     got = {(x["model"], x["dataset"], x["metric"]): x["value"] for x in r.collect()}
     assert got[("tvae", "diabetes", "tstr_accuracy")] == 0.9 and got[("tvae", "diabetes", "exact_match_count")] == 0
     rp.write_reports(r, os.path.join(d, "out"))
-    assert spark.read.json(os.path.join(d, "out")).count() == 3
+    assert spark.read.json(os.path.join(d, "out")).count() == 4
 
 
 def test_encoder_params_save_load(spark):
