@@ -310,7 +310,8 @@ def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """dedup → flags → keyword features → drop → floors → winsorize → impute
     → round types. Three small statistics actions (null shares, percentiles,
     medians); the rest is one plan."""
-    df = nan_to_null(dedup(df))
+    from cohortlens.operators.privacy import reuse
+    df = reuse(nan_to_null(dedup(df)))        # read by the statistics passes below
     flags = missing_flag_columns(df, spec.threshold)
     df = add_missing_flags(df, cols=flags)
     if spec.keyword_col and spec.keyword_col in df.columns:

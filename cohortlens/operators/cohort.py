@@ -111,7 +111,8 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
         blk = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(id_col)))
     else:
         blk = F.lit(0)
-    p = patients.select(id_col, age_col, *COMBO, blk.alias("blk"))
+    from cohortlens.operators.privacy import reuse
+    p = reuse(patients.select(id_col, age_col, *COMBO, blk.alias("blk")))
     # count table: (combo, block) → {age: n} plus NULL-age count; size bounded by domain × blocks
     cnt = (p.groupBy(*COMBO, "blk", age_col).agg(F.count(F.lit(1)).alias("n"))
            .groupBy(*COMBO, "blk").agg(
@@ -171,17 +172,27 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
 
 
 # -------------------------------------------------------- A11 cohort summary
-def cohort_summary(df: DataFrame, n_total: Column | int, n_matched: Column | int) -> DataFrame:
+def cohort_summary(df: DataFrame, n_total: Column | int, n_matched: Column | int,
+                   where: Column | None = None) -> DataFrame:
     """Counts, age mean/min/max, % male/female and prevalence of the three
-    conditions, one conditional aggregate (A11)."""
-    n = F.count(F.lit(1))
-    pct = lambda cond: br(F.count_if(cond) * 100.0 / F.greatest(n, F.lit(1)), 1)
-    male = F.count_if(F.col("Sex") == 1) * 100.0 / F.greatest(n, F.lit(1))
+    conditions, one conditional aggregate (A11). With ``where`` the summary
+    covers the matching rows and the totals come from the same pass
+    (``n_total`` / ``n_matched`` then ignored)."""
+    if where is None:
+        inside = F.lit(True)
+        tot, mat = F.lit(n_total).cast("bigint"), F.lit(n_matched).cast("bigint")
+    else:
+        inside = F.coalesce(where, F.lit(False))
+        tot, mat = F.count(F.lit(1)), F.count_if(inside)
+    w = lambda x: F.when(inside, x)
+    n = F.count_if(inside)
+    pct = lambda cond: br(F.count_if(inside & cond) * 100.0 / F.greatest(n, F.lit(1)), 1)
+    male = F.count_if(inside & (F.col("Sex") == 1)) * 100.0 / F.greatest(n, F.lit(1))
     return df.agg(
-        F.lit(n_total).cast("bigint").alias("total_real_rows"), F.lit(n_matched).cast("bigint").alias("matched_rows"),
+        tot.cast("bigint").alias("total_real_rows"), mat.cast("bigint").alias("matched_rows"),
         n.alias("generated_rows"), F.lit(len(df.columns)).alias("num_columns"),
-        br(F.avg("Age"), 1).alias("age_mean"), F.min("Age").cast("bigint").alias("age_min"),
-        F.max("Age").cast("bigint").alias("age_max"),
+        br(F.avg(w(F.col("Age"))), 1).alias("age_mean"), F.min(w(F.col("Age"))).cast("bigint").alias("age_min"),
+        F.max(w(F.col("Age"))).cast("bigint").alias("age_max"),
         br(male, 1).alias("male_pct"), br(F.lit(100.0) - male, 1).alias("female_pct"),
         pct(F.col("Diabetes_Target") >= 1).alias("diabetes_pct"),
         pct(F.col("Has_Hypertension") == 1).alias("hypertension_pct"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,31 +26,44 @@ PARAM_SCHEMA = ("col string, kind string, min double, max double, median double,
 # ---------------------------------------------------------- E1 label encode
 def label_codes(real: DataFrame, synth: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value, code): sorted classes of the *union* of both tables
-    (values as text; NULL becomes the class 'nan', as ``astype(str)`` does)."""
+    (values as text; NULL becomes the class 'nan', as ``astype(str)`` does).
+    Codes are ranks within each feature computed without a per-feature
+    window (range-partitioned ``group_rank``), so a high-cardinality column
+    is spread over many tasks."""
+    from cohortlens.operators.sampling import group_rank
+
     def vals(df):
         stack = ", ".join(f"'{c}', coalesce(CAST(`{c}` AS STRING), 'nan')" for c in cols)
         return df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, value)")
     u = vals(real).unionByName(vals(synth)).distinct()
-    # one row per (column, distinct class): small for categorical columns
-    return u.withColumn("code", (F.dense_rank().over(Window.partitionBy("feature").orderBy("value")) - 1)
-                        .cast("bigint"))
+    return group_rank(u, "feature", F.col("value"), ["value"], out="code").select("feature", "value", "code")
+
+
+MAP_LIMIT = 100_000   # code tables up to this size are applied as map constants
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace each categorical column by its code (lookup maps are built
-    from the small code table)."""
-    rows = codes.collect()
-    maps = {}
-    for r in rows:
-        maps.setdefault(r["feature"], []).append((r["value"], r["code"]))
-    out = []
-    for c in df.columns:
-        if c in cols:
-            m = F.create_map(*[x for v, k in sorted(maps.get(c, [])) for x in (F.lit(v), F.lit(k))])
-            out.append(m[F.coalesce(F.col(c).cast("string"), F.lit("nan"))].alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)
+    """Replace each categorical column by its code: a map constant when the
+    code table is small (size checked), else an equi-join per column."""
+    n = codes.count()
+    if n <= MAP_LIMIT:
+        maps = {}
+        for r in codes.collect():
+            maps.setdefault(r["feature"], []).append((r["value"], r["code"]))
+        out = []
+        for c in df.columns:
+            if c in cols:
+                m = F.create_map(*[x for v, k in sorted(maps.get(c, [])) for x in (F.lit(v), F.lit(k))])
+                out.append(m[F.coalesce(F.col(c).cast("string"), F.lit("nan"))].alias(c))
+            else:
+                out.append(F.col(c))
+        return df.select(*out)
+    order = df.columns
+    for c in cols:
+        cc = codes.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_k_{c}"))
+        df = (df.withColumn(f"_v_{c}", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
+              .join(cc, f"_v_{c}", "left").drop(c, f"_v_{c}").withColumnRenamed(f"_k_{c}", c))
+    return df.select(*order)
 
 
 def label_encode(real: DataFrame, synth: DataFrame, cols: list[str] | None = None):

@@ -156,7 +156,9 @@ def flatten(bundles: DataFrame, drop_empty_vitals: bool = True) -> DataFrame:
     conditions → de-duplicate → drop NULL age → vitals median/mode fill →
     demographics 'Unknown' → sanitise names. Vital columns never observed
     are dropped, as the reference never creates them."""
-    raw = flatten_raw(bundles).withColumn("age", patient_age(F.col("birthDate"))).drop("birthDate")
+    from cohortlens.operators.privacy import reuse
+    # several small statistics actions follow (top-20, observed vitals, medians): read the bundles once
+    raw = reuse(flatten_raw(bundles).withColumn("age", patient_age(F.col("birthDate"))).drop("birthDate"))
     oh = onehot_conditions(raw).drop("conditions", "id", "bundle_id")
     if drop_empty_vitals:
         seen = oh.agg(*[F.count(F.col(c)).alias(c) for c in VITAL_COLS]).first()

@@ -188,10 +188,17 @@ def _leaf_search(real_leaf: DataFrame, queries: DataFrame, zc: list[str], chunk:
     """min squared distance of every (z…, leaf) query to the real rows of
     that leaf; queries of a leaf are salted into ≤ ``chunk``-row groups and
     the leaf's real rows replicated per salt."""
-    cnt = queries.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("nch"))
-    cnt = F.broadcast(cnt)  # ≤ 2^depth ≤ 4096 rows
-    q = queries.join(cnt, "leaf").withColumn("ch", F.pmod(F.xxhash64(*zc), F.col("nch")).cast("int"))
-    r = real_leaf.join(cnt, "leaf").withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("nch") - 1)))
+    # salts per leaf: ≤ 2^depth ≤ 4096 numbers, applied as a map constant (no join)
+    nch = {r["leaf"]: r["nch"] for r in queries.groupBy("leaf").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("nch")).collect()}
+    m = F.create_map(*[x for k, v in sorted(nch.items()) for x in (F.lit(k), F.lit(v))]) if nch else None
+    if m is None:
+        return queries.sparkSession.createDataFrame(
+            [], ", ".join(f"{c} double" for c in zc) + ", leaf int, d2 double, p string")
+    q = queries.withColumn("nch", m[F.col("leaf")]).withColumn(
+        "ch", F.pmod(F.xxhash64(*zc), F.col("nch")).cast("int"))
+    r = (real_leaf.withColumn("nch", m[F.col("leaf")]).where(F.col("nch").isNotNull())
+         .withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("nch") - 1))))
     schema = ", ".join(f"{c} double" for c in zc) + ", leaf int, d2 double, p string"
     return (r.select("leaf", "ch", *zc, "p").groupBy("leaf", "ch")
             .cogroup(q.select("leaf", "ch", *zc).groupBy("leaf", "ch"))
@@ -294,6 +301,25 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
     return out if payload else out.drop("nn_payload")
 
 
+def dcr(real: DataFrame, synth: DataFrame, cols: list[str], profile: str = "core",
+        sample_size: int | None = None, seed: int = 42, real_key: list[str] | None = None,
+        synth_key: list[str] | None = None, **kw) -> DataFrame:
+    """DCR summary (J1). ``sample_size=None`` scores the whole tables (the
+    default here); a number reproduces the reference's sampling: ``core``
+    samples each side to min(n, sample_size) independently, ``full`` both
+    sides to min(sample_size, n_real, n_synth). Samples are hash-ordered on
+    the given keys, and z-scores use the real *sample*'s statistics."""
+    if sample_size:
+        from cohortlens.operators.cohort import sample_n
+        if profile == "full":
+            kr = ks = min(sample_size, real.count(), synth.count())
+        else:
+            kr = ks = sample_size
+        real = sample_n(real, kr, seed, real_key or cols).drop("draw")
+        synth = sample_n(synth, ks, seed, synth_key or cols).drop("draw")
+    return dcr_summary(nearest_distance(real, synth, cols, **kw), profile)
+
+
 # --------------------------------------------------------------- summaries
 def dcr_summary(dist: DataFrame, profile: str = "core", col: str = "dcr") -> DataFrame:
     """avg / median / min (/ max for ``full``) distance, exact-copy count and

@@ -194,12 +194,7 @@ SELECT (SELECT count(*) FROM patients) AS total_real_rows, count(*) AS matched_r
 FROM patients WHERE Age >= 30 AND Age <= 60""", "patients"))
 def q_cohort_summary(spark, d):
     p = fx.patients(spark, d)
-    f = co.cohort_filter(p, {"age_min": 30, "age_max": 60})
-    s = co.cohort_summary(f, F.lit(None), F.lit(None))
-    tot = p.agg(F.count(F.lit(1)).alias("t"))
-    return s.drop("total_real_rows").join(tot, how="left").select(
-        F.col("t").alias("total_real_rows"), F.col("generated_rows").alias("matched_rows"), *[
-            c for c in s.columns if c not in ("total_real_rows", "matched_rows")])
+    return co.cohort_summary(p, None, None, where=co.cohort_predicate(p, {"age_min": 30, "age_max": 60}))
 
 
 # ------------------------------------------------------------------ J6
