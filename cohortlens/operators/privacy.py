@@ -250,7 +250,7 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
     dims, vals = build_kdtree(pts, depth)
     vec = F.array(*[F.col(c) for c in zc])
     RL = R.withColumn("leaf", leaf_expr(vec, dims, vals, depth))
-    SV = S.select(*zc).where(valid).dropDuplicates(zc).withColumn("leaf", leaf_expr(vec, dims, vals, depth))
+    SV = reuse(S.select(*zc).where(valid).dropDuplicates(zc).withColumn("leaf", leaf_expr(vec, dims, vals, depth)))
     p1 = _leaf_search(RL, SV, zc, chunk)
     best = p1.select(*zc, "d2", "p")
     if L > 1:
@@ -292,8 +292,8 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
                 out["leaf"] = li.astype("int32")
                 yield out
 
-        cand = p1.select(*zc, "leaf", "d2").mapInPandas(
-            candidates, ", ".join(f"{c} double" for c in zc) + ", leaf int")
+        cand = reuse(p1.select(*zc, "leaf", "d2").mapInPandas(
+            candidates, ", ".join(f"{c} double" for c in zc) + ", leaf int"))
         best = best.unionByName(_leaf_search(RL, cand, zc, chunk).select(*zc, "d2", "p"))
     best = best.groupBy(*zc).agg(F.min(F.struct("d2", "p")).alias("_best"))
     out = S.join(best, zc, "left").select(*keep, F.sqrt(F.col("_best.d2")).alias("dcr"),
