@@ -96,7 +96,7 @@ def _accepted(dom: list, keep) -> Column:
 
 
 def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patient_id",
-                  age_col: str = "Age", block_rows: int = 4096, with_counts: bool = False) -> DataFrame:
+                  age_col: str = "Age", block_rows: int = 512, with_counts: bool = False) -> DataFrame:
     """For every normalised request (request_id, num_patients, gender,
     age_min, age_max, conditions, severity_target): the ``num_patients``
     matching patients with the smallest ids → (request_id, patient_id,
@@ -104,7 +104,7 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
     delivered) instead."""
     dom = _domain(patients, COMBO)
     n_pat = patients.count()
-    nblk = max(1, min(256, math.ceil(n_pat / block_rows)))
+    nblk = max(1, min(1024, math.ceil(n_pat / block_rows)))
     if nblk > 1:
         edges = patients.agg(F.percentile_approx(F.col(id_col), [i / nblk for i in range(1, nblk)], 10000)
                              .alias("e")).first()["e"]
@@ -113,12 +113,22 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
         blk = F.lit(0)
     from cohortlens.operators.privacy import reuse
     p = reuse(patients.select(id_col, age_col, *COMBO, blk.alias("blk")))
-    # count table: (combo, block) → {age: n} plus NULL-age count; size bounded by domain × blocks
-    cnt = (p.groupBy(*COMBO, "blk", age_col).agg(F.count(F.lit(1)).alias("n"))
-           .groupBy(*COMBO, "blk").agg(
-               F.map_from_entries(F.collect_list(F.when(F.col(age_col).isNotNull(),
-                                                        F.struct(F.col(age_col), F.col("n"))))).alias("ages"),
-               F.sum(F.when(F.col(age_col).isNull(), F.col("n")).otherwise(0)).alias("n_null")))
+    # count table: (combo, block) → cumulative counts over the integer age
+    # domain [a0, a1] plus the NULL-age count; size bounded by domain × blocks
+    arange = patients.agg(F.min(age_col).alias("a0"), F.max(age_col).alias("a1")).first()
+    a0, a1 = int(arange["a0"] or 0), int(arange["a1"] or 0)
+    width = a1 - a0 + 1
+    by_age = p.groupBy(*COMBO, "blk", age_col).agg(F.count(F.lit(1)).alias("n"))
+    cnt = by_age.groupBy(*COMBO, "blk").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col(age_col).isNotNull(),
+                                                 F.struct((F.col(age_col) - a0).cast("int"), F.col("n"))))).alias("m"),
+        F.sum(F.when(F.col(age_col).isNull(), F.col("n")).otherwise(0)).alias("n_null"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
+                        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0)).cast("bigint"))
+    cum = F.aggregate(dense, F.array().cast("array<bigint>"),
+                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)),
+                                                                      F.lit(0).cast("bigint")) + x)))
+    cnt = cnt.select(*COMBO, "blk", cum.alias("cum"), "n_null")
     r = requests
     has = lambda name: F.array_contains(F.col("conditions"), name)
     sev = F.col("severity_target")
@@ -137,10 +147,10 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
               .drop("conditions", "severity_target"))
     on = [combos[c].eqNullSafe(cnt[c]) for c in COMBO]
     amin, amax = F.col("age_min"), F.col("age_max")
-    in_age = F.aggregate(
-        F.map_entries("ages"), F.lit(0).cast("bigint"),
-        lambda acc, e: acc + F.when((amin.isNull() | (e["key"] >= amin)) & (amax.isNull() | (e["key"] <= amax)),
-                                    e["value"]).otherwise(0))
+    lo_i = F.greatest(F.coalesce(amin, F.lit(a0)) - a0, F.lit(0))            # 0-based, inclusive
+    hi_i = F.least(F.coalesce(amax, F.lit(a1)) - a0, F.lit(width - 1))
+    upto = lambda i: F.when(i < 0, F.lit(0)).otherwise(F.element_at(F.col("cum"), i + 1))
+    in_age = F.when(hi_i < lo_i, F.lit(0)).otherwise(upto(hi_i) - upto(lo_i - 1))
     per = (combos.join(cnt, on).select(
         "request_id", "n_req", "blk",
         (in_age + F.when(amin.isNull() & amax.isNull(), F.col("n_null")).otherwise(0)).alias("m"))

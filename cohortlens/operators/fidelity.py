@@ -95,7 +95,9 @@ def ks_statistics(real: DataFrame, synth: DataFrame, cols: list[str], blocks: in
     n_real, n_synth). Exact: sup |F_r − F_s| over all observed values."""
     u = (unpivot(real, cols).withColumn("_s", F.lit(0))
          .unionByName(unpivot(synth, cols).withColumn("_s", F.lit(1))))
-    h = u.groupBy("feature", "value").agg(F.sum(1 - F.col("_s")).alias("cr"), F.sum("_s").alias("cs"))
+    from cohortlens.operators.privacy import reuse
+    # distinct (feature, value) counts feed four branches below: read the tables once
+    h = reuse(u.groupBy("feature", "value").agg(F.sum(1 - F.col("_s")).alias("cr"), F.sum("_s").alias("cs")))
     # block edges: approximate quantiles of the distinct values (k × blocks numbers)
     probs = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
     edges = h.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("edges"))
