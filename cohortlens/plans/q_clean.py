@@ -76,11 +76,19 @@ _WINS_BOUNDS = """SELECT quantile_cont(CAST(o_totalprice AS DOUBLE), [0.01, 0.99
 
 
 @register("winsorize", with_views(f"""
-SELECT o_orderkey, {_clip_sql('o_totalprice', 'b')} AS o_totalprice, {_clip_sql('o_custkey', 'b')} AS o_custkey,
-       diagnosis_text, o_orderstatus
+SELECT o_orderkey, round({_clip_sql('o_totalprice', 'b')}, 6) + 0.0 AS o_totalprice,
+       round({_clip_sql('o_custkey', 'b')}, 6) + 0.0 AS o_custkey, diagnosis_text, o_orderstatus
 FROM dirty_ord, b""", "dirty_ord", ctes=[("b", _WINS_BOUNDS)]))
 def q_winsorize(spark, d):
-    return cl.winsorize(fx.dirty_ord(spark, d), ["o_totalprice", "o_custkey"])
+    w = cl.winsorize(fx.dirty_ord(spark, d), ["o_totalprice", "o_custkey"])
+    return _r6(w, ["o_totalprice", "o_custkey"])
+
+
+def _r6(df, cols):
+    """Interpolated percentiles differ between engines in the last ulp:
+    compare at 6 dp."""
+    from cohortlens.functions.expr import r6
+    return df.select(*[r6(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 # ----------------------------------------------------------- P9 keyword flags
@@ -101,13 +109,15 @@ def _mode_sql(view, c):
 
 @register("fill_median_mode", with_views(f"""
 SELECT o_orderkey,
-       coalesce(CAST(o_totalprice AS DOUBLE), (SELECT quantile_cont(o_totalprice, 0.5) FROM dirty_ord)) AS o_totalprice,
-       coalesce(CAST(o_custkey AS DOUBLE), (SELECT quantile_cont(CAST(o_custkey AS DOUBLE), 0.5) FROM dirty_ord))
-         AS o_custkey,
+       round(coalesce(CAST(o_totalprice AS DOUBLE), (SELECT quantile_cont(o_totalprice, 0.5) FROM dirty_ord)), 6)
+         + 0.0 AS o_totalprice,
+       round(coalesce(CAST(o_custkey AS DOUBLE), (SELECT quantile_cont(CAST(o_custkey AS DOUBLE), 0.5)
+         FROM dirty_ord)), 6) + 0.0 AS o_custkey,
        coalesce(diagnosis_text, {_mode_sql('dirty_ord', 'diagnosis_text')}) AS diagnosis_text, o_orderstatus
 FROM dirty_ord""", "dirty_ord"))
 def q_fill_median_mode(spark, d):
-    return cl.fill_median_mode(fx.dirty_ord(spark, d), ["o_totalprice", "o_custkey", "diagnosis_text"])
+    f = cl.fill_median_mode(fx.dirty_ord(spark, d), ["o_totalprice", "o_custkey", "diagnosis_text"])
+    return _r6(f, ["o_totalprice", "o_custkey"])
 
 
 # ---------------------------------------------------------- S2 NA tokens
@@ -245,7 +255,7 @@ m AS (SELECT quantile_cont(o_orderkey, 0.5) AS o_orderkey, quantile_cont(o_total
              quantile_cont(o_custkey, 0.5) AS o_custkey, quantile_cont(Has_Urgent, 0.5) AS Has_Urgent,
              quantile_cont(Has_High, 0.5) AS Has_High, {_mode_sql('w', 'o_orderstatus')} AS o_orderstatus FROM w)
 SELECT CAST(round_even(coalesce(w.o_orderkey, m.o_orderkey), 0) AS BIGINT) AS o_orderkey,
-       coalesce(w.o_totalprice, m.o_totalprice) AS o_totalprice,
+       round(coalesce(w.o_totalprice, m.o_totalprice), 6) + 0.0 AS o_totalprice,
        CAST(round_even(coalesce(w.o_custkey, m.o_custkey), 0) AS BIGINT) AS o_custkey,
        coalesce(w.o_orderstatus, m.o_orderstatus) AS o_orderstatus,
        CAST(least(greatest(round_even(CAST(o_totalprice_is_missing AS DOUBLE), 0), 0.0), 1.0) AS INT)
@@ -259,4 +269,4 @@ FROM w, m""", "dirty_ord").replace("\n, dd AS", ",\ndd AS", 1)
 
 @register("clean_pipeline", _CLEAN_SQL)
 def q_clean_pipeline(spark, d):
-    return cl.clean(fx.dirty_ord(spark, d), ORD_SPEC)
+    return _r6(cl.clean(fx.dirty_ord(spark, d), ORD_SPEC), ["o_totalprice"])

@@ -77,10 +77,10 @@ def q_condition_onehot(spark, d):
 
 @register("fhir_flatten", with_views(f"""
 SELECT gender, maritalStatus, race, 'Unknown' AS ethnicity, age,
-       coalesce(weight_kg, (SELECT quantile_cont(weight_kg, 0.5) FROM base)) AS weight_kg,
-       coalesce(heart_rate, (SELECT quantile_cont(heart_rate, 0.5) FROM base)) AS heart_rate,
-       coalesce(systolic_bp, (SELECT quantile_cont(systolic_bp, 0.5) FROM base)) AS systolic_bp,
-       coalesce(diastolic_bp, (SELECT quantile_cont(diastolic_bp, 0.5) FROM base)) AS diastolic_bp,
+       round(coalesce(weight_kg, (SELECT quantile_cont(weight_kg, 0.5) FROM base)), 6) + 0.0 AS weight_kg,
+       round(coalesce(heart_rate, (SELECT quantile_cont(heart_rate, 0.5) FROM base)), 6) + 0.0 AS heart_rate,
+       round(coalesce(systolic_bp, (SELECT quantile_cont(systolic_bp, 0.5) FROM base)), 6) + 0.0 AS systolic_bp,
+       round(coalesce(diastolic_bp, (SELECT quantile_cont(diastolic_bp, 0.5) FROM base)), 6) + 0.0 AS diastolic_bp,
        coalesce(smoking_status, (SELECT smoking_status FROM base WHERE smoking_status IS NOT NULL
                                  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS smoking_status,
        cond_flags, n_cond_cols
@@ -96,5 +96,8 @@ def q_fhir_flatten(spark, d):
     df = fh.flatten(fx.bundles(spark, d))
     cc = [c for c in df.columns if c.startswith("Cond_")]
     flags = F.array_sort(F.filter(F.array(*[F.when(F.col(c) == 1, F.lit(c)) for c in cc]), lambda x: x.isNotNull()))
-    return df.select(*[c for c in df.columns if c not in cc], flags.alias("cond_flags"),
+    from cohortlens.functions.expr import r6
+    vit = ["weight_kg", "heart_rate", "systolic_bp", "diastolic_bp"]
+    return df.select(*[r6(F.col(c)).alias(c) if c in vit else F.col(c) for c in df.columns if c not in cc],
+                     flags.alias("cond_flags"),
                      F.lit(len(cc)).cast("bigint").alias("n_cond_cols"))
