@@ -201,7 +201,7 @@ class QuantileNormalEncoder:
         probs = [i / (n_quantiles - 1) for i in range(n_quantiles)]
         # grid by approximate quantiles (one aggregate; the reference's
         # transformer also works from a subsample)
-        g = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 100_000).alias(c) for c in num]).first() \
+        g = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in num]).first() \
             if num else {}
         grids = {c: list(g[c]) for c in num}
         med = exact_quantiles(df, num, [0.5]) if num else {}
