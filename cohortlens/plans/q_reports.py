@@ -96,7 +96,7 @@ _MEMO: dict = {}
 def model_reports(spark, d, profile: str = "full"):
     """Long-form reports of the three variants, checkpointed once per
     (session, folder) and reused by the report queries."""
-    k = (id(spark), d, profile)
+    k = (spark.sparkContext.applicationId, d, profile)
     if k not in _MEMO:
         real = fx.real_li(spark, d)
         out = None
