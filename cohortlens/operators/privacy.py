@@ -61,13 +61,24 @@ def reuse(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def standardize_stats(real: DataFrame, cols: list[str]) -> tuple[list[float], list[float]]:
-    """Real mean and ddof-1 std per column (std 0 or undefined → 1)."""
-    r = real.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+def _stats_and_count(real: DataFrame, cols: list[str]):
+    """Mean, ddof-1 std (0 or undefined → 1) per column and the number of
+    rows with every column present — one aggregate pass."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    r = real.agg(F.count_if(cond).alias("_n"),
+                 *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     means = [r[f"m{i}"] or 0.0 for i in range(len(cols))]
     stds = [(r[f"s{i}"] if r[f"s{i}"] not in (None, 0.0) and not math.isnan(r[f"s{i}"]) else 1.0)
             for i in range(len(cols))]
+    return means, stds, r["_n"]
+
+
+def standardize_stats(real: DataFrame, cols: list[str]) -> tuple[list[float], list[float]]:
+    """Real mean and ddof-1 std per column (std 0 or undefined → 1)."""
+    means, stds, _ = _stats_and_count(real, cols)
     return means, stds
 
 
@@ -218,14 +229,16 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
     ``stats``: (means, stds) to standardise with instead of real's own."""
     keep = list(keep or [])
     if vector_col:
+        n_rows = None
         dim = real.select(F.max(F.size(vector_col))).first()[0] or 0
         zc = [f"_z{i}" for i in range(dim)]
         zr = zs = [F.col(vector_col).cast("array<double>")[i].alias(c) for i, c in enumerate(zc)]
     else:
+        n_rows = None
         if stats is not None:
             means, stds = stats
         elif standardize:
-            means, stds = standardize_stats(real, cols)
+            means, stds, n_rows = _stats_and_count(real, cols)
         else:
             means, stds = [0.0] * len(cols), [1.0] * len(cols)
         dim = len(cols)
@@ -237,16 +250,19 @@ def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None =
         valid = valid & F.col(c).isNotNull() & ~F.isnan(F.col(c))
     pcol = F.col(payload).cast("string") if payload else F.lit(None).cast("string")
     R = reuse(real.select(*zr, pcol.alias("p")).where(valid).groupBy(*zc).agg(F.min("p").alias("p")))
-    n = R.count()
     S = synth.select(*keep, *zs)
+    # tree size from the row count (an upper bound of the distinct count) and split
+    # points from a bounded sample of raw rows: no job has to wait for the dedup
+    n = n_rows if n_rows is not None else real.select(*zr).where(valid).count()
     if n == 0 or dim == 0:
         out = S.select(*keep, F.lit(None).cast("double").alias("dcr"), F.lit(None).cast("string").alias("nn_payload"))
         return out if payload else out.drop("nn_payload")
     depth = 0 if n <= leaf_size else min(12, math.ceil(math.log2(n / leaf_size)))
     L = 2 ** depth
     target = min(n, max(4096, 32 * L))
-    sample = R.sample(fraction=min(1.0, 1.2 * target / n), seed=seed).select(*zc).collect() if depth else []
-    pts = np.array([list(row) for row in sample], dtype=np.float64).reshape(-1, dim)
+    sample = (real.select(*zr).where(valid).sample(fraction=min(1.0, 1.2 * target / n), seed=seed).collect()
+              if depth else [])
+    pts = np.unique(np.array([list(row) for row in sample], dtype=np.float64).reshape(-1, dim), axis=0)
     dims, vals = build_kdtree(pts, depth)
     vec = F.array(*[F.col(c) for c in zc])
     RL = R.withColumn("leaf", leaf_expr(vec, dims, vals, depth))
