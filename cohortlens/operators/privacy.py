@@ -86,10 +86,6 @@ def zvector(cols: list[str], means, stds) -> Column:
     return F.array(*[(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, means, stds)])
 
 
-def _valid(v: Column) -> Column:
-    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
-
-
 # ----------------------------------------------------------------- k-d tree
 def build_kdtree(points: np.ndarray, depth: int) -> tuple[list[int], list[float]]:
     """Median splits on the widest dimension; heap arrays of size 2^depth

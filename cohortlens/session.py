@@ -52,3 +52,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the intermediates operators persisted (they are recomputed from
+    lineage if a DataFrame that used them is evaluated again)."""
+    spark.catalog.clearCache()
