@@ -41,13 +41,14 @@ def get_spark(app: str = "cohortlens", cpus: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered.
+    Read from the session. Only a local session without one (tests, a laptop)
+    gets a scratch folder; on a cluster a missing setting is an error, as a
+    folder of the driver's machine would be invisible to the executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
