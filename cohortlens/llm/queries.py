@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, packing
+from cohortlens.llm import bpe, cover_tree, packing, topk_search
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,3 +45,37 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, VOCAB, bpe.build_lexicon(docs, VOCAB))
+
+
+@register("op3_exact_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(min(embedding), lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20""")
+def op3(spark, sf_dir):
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+@register("op7_cover_tree_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(min(embedding), lambda x: CAST(x AS DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL GROUP BY vec_id),
+u AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id,
+       c.vec_id = component_id AS kept FROM c""")
+def op7(spark, sf_dir):
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
