@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, cover_tree, packing, topk_search
+from cohortlens.llm import bpe, cover_tree, minhash_dedup, packing, topk_search
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,3 +79,8 @@ SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, compo
        c.vec_id = component_id AS kept FROM c""")
 def op7(spark, sf_dir):
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@register("op6_bottom_k_dedup")
+def op6(spark, sf_dir):
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5)
