@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, cover_tree, minhash_dedup, packing, topk_search
+from cohortlens.llm import bpe, cover_tree, line_dedup, minhash_dedup, packing, topk_search
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,3 +84,9 @@ def op7(spark, sf_dir):
 @register("op6_bottom_k_dedup")
 def op6(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5)
+
+
+@register("op10_winnowed_line_dedup")
+def op10(spark, sf_dir):
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
