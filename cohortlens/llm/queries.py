@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, cover_tree, line_dedup, minhash_dedup, packing, topk_search
+from cohortlens.llm import bpe, cover_tree, line_dedup, minhash_dedup, packing, secret_scan, topk_search
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,3 +90,8 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@register("op4_credential_linking", secret_scan.duckdb_sql())
+def op4(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
