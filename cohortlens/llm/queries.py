@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, cover_tree, kn_quality, license_scan, line_dedup, minhash_dedup, packing, secret_scan, topk_search
+from cohortlens.llm import bpe, cover_tree, html_extract, kn_quality, license_scan, line_dedup, minhash_dedup, packing, secret_scan, topk_search
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,3 +105,8 @@ def op1(spark, sf_dir):
 @register("op2_kneser_ney_quality")
 def op2(spark, sf_dir):
     return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_template_extraction")
+def op9(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
