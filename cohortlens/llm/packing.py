@@ -184,4 +184,5 @@ def pack(docs: DataFrame, vocab: str, window: int = WINDOW, end_id: int = 0, id_
     sequence_id, offset (and ids). Sequences are filled from 0 without gaps."""
     pieces = stored(pieces_of(docs, vocab, window, end_id, id_col, column, with_ids), "pieces")
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    return place(ranked(pieces), sweep(counts, window))
+    columns = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *(["ids"] if with_ids else [])]
+    return place(ranked(pieces), sweep(counts, window)).select(columns)

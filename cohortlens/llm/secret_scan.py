@@ -96,14 +96,38 @@ def _digest_text(spans: Column) -> Column:
 def scan(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", column: str = "text") -> DataFrame:
     """(id_col, spans): every document's spans {start, kind, finish} (kind by
     position in KINDS), strong ones and linked weak ones, by start, then kind."""
-    text = F.coalesce(F.col(column), F.lit(""))
+    return _scan(docs.select(F.struct(id_col).alias("_row"), F.coalesce(F.col(column), F.lit("")).alias("_text")),
+                 scope).select(F.col("_row")[id_col].alias(id_col), "spans")
 
+
+def redact(docs: DataFrame, scope: int = SCOPE, column: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every span of ``column`` replaced by ``mark`` (overlapping
+    spans by one); all columns are kept, texts without spans unchanged."""
+    names = docs.columns
+    found = _scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
+                              F.coalesce(F.col(column), F.lit("")).alias("_text")), scope)
+    text = F.col("_row")[column]
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        fresh = s["start"] >= acc["at"]
+        return F.struct(F.greatest(acc["at"], s["finish"]).alias("at"),
+                        F.when(fresh, F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return found.select(*[(F.when(F.size("spans") > 0, clean).otherwise(text) if c == column else F.col("_row")[c]).alias(c)
+                          for c in names])
+
+
+def _scan(texts: DataFrame, scope: int) -> DataFrame:
+    """(_row, spans) of a table (_row, _text)."""
     def row(df: DataFrame, **columns: Column) -> DataFrame:
         # one generated row each: a border that keeps expressions from being evaluated again for every use
-        return df.select("_id", F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("s")).select(
-            "_id", "s.*")
+        return df.select("_row", F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("s")).select(
+            "_row", "s.*")
 
-    found = row(docs.select(F.col(id_col).alias("_id"), text.alias("_text")), **{k: _spans(F.col("_text"), k) for k in KINDS})
+    found = row(texts, **{k: _spans(F.col("_text"), k) for k in KINDS})
     strong = {k: F.col(k) for k in KINDS[:STRONG]}
     found = row(found, strong=F.concat(*strong.values()), **{k: F.col(k) for k in KINDS})
     found = row(found, strong=F.col("strong"), **strong, **{
@@ -112,7 +136,7 @@ def scan(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", column: st
     found = row(found, strong=F.col("strong"), secrets=secrets, names=names, **{k: F.col(k) for k in KINDS[STRONG:]})
     partner = {"id": "secrets", "key": "names", "endpoint": "secrets"}
     linked = [_linked(k, other, scope) for k, other in partner.items()]
-    return found.select(F.col("_id").alias(id_col), F.array_sort(F.concat("strong", *linked)).alias("spans"))
+    return row(found, spans=F.array_sort(F.concat("strong", *linked)))
 
 
 def digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
