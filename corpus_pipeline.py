@@ -24,13 +24,13 @@ from cohortlens.llm.tables import stored, table
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` whose doc_id is not in ``ids`` (id)."""
-    return docs.join(ids.distinct(), docs["doc_id"] == ids["id"], "left_anti")
+    """``docs`` whose doc_id is not in ``ids`` (doc_id)."""
+    return docs.join(ids.distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = kn_quality.classify(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("rejected").select(F.col("doc_id").alias("id")))
+    return _without(docs, judged.where("rejected").select("doc_id"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(docs, percent=85, width=5)
-    return _without(docs, found.where("NOT kept").select(F.col("doc_id").alias("id")))
+    return _without(docs, found.where("NOT kept").select("doc_id"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
