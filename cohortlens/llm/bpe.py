@@ -35,6 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm.tables import stored
 from cohortlens.llm.words import buffer_of, pieces, text_slices
 
 LEXICON_WORDS = 50_000
@@ -426,15 +427,23 @@ def word_counts(docs: DataFrame, vocab: str, column: str = "text") -> DataFrame:
 
 def build_lexicon(docs: DataFrame, vocab: str, size: int = LEXICON_WORDS, column: str = "text",
                   max_bytes: int = 64) -> str:
-    """Compile the ``size`` most frequent words of all texts (ties to the
-    smaller word; words over ``max_bytes`` are left to the exact merges) and
-    ship the file; returns its name for the tasks. ``size`` bounds what the
-    driver holds whatever the input's size."""
+    """Compile the most frequent words of all texts, ``size`` at most, and ship
+    the file; returns its name for the tasks. The frequency from which words
+    are taken is the lowest step (eighths of a power of two) that no more than
+    ``size`` words reach, so the driver gets a bounded number of rows. Words
+    over ``max_bytes`` are left to the exact merges."""
     spark = docs.sparkSession
     special = [F.lit(s) for s in bpe_of(vocab).special]
-    frequent = (word_counts(docs, vocab, column)
-                .where((F.length("word") <= max_bytes) & (F.col("n") > 1) & ~F.col("word").isin(special))
-                .orderBy(F.desc("n"), "word").limit(size).collect())
+    counts = stored(word_counts(docs, vocab, column)
+                    .where((F.length("word") <= max_bytes) & (F.col("n") > 1) & ~F.col("word").isin(special))
+                    .withColumn("step", F.floor(F.log2("n") * 8)), "words")
+    reached, least = 0, None
+    for r in sorted(counts.groupBy("step").agg(F.count("*").alias("k")).collect(), key=lambda r: -r.step):
+        reached += r.k
+        if reached > size:
+            break
+        least = r.step
+    frequent = counts.where(F.col("step") >= least).select("word").collect() if least is not None else []
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     from tempfile import mkdtemp  # read by the driver alone, which ships it
     path = os.path.join(mkdtemp(prefix="cohortlens-lexicon-"), name)

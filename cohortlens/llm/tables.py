@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +69,15 @@ def finite(vector: str | Column) -> Column:
     c = F.col(vector) if isinstance(vector, str) else vector
     ok = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return F.coalesce(c.isNotNull() & ok, F.lit(False))
+
+
+def group_labels(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id of each row's and column's group in a bipartite graph."""
+    a, b = a.copy(), b.copy()
+    big = np.iinfo(np.int64).max
+    while True:
+        new_b = np.minimum(b, np.where(mask, a[:, None], big).min(0, initial=big))
+        new_a = np.minimum(a, np.where(mask, new_b[None, :], big).min(1, initial=big))
+        if (new_a == a).all() and (new_b == b).all():
+            return a, b
+        a, b = new_a, new_b

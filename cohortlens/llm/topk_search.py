@@ -13,7 +13,7 @@ repeated once per candidate block, vectors are never paired row by row.
 Defined results: vectors that are NULL or hold NULL, NaN or infinite
 components, and rows without an id, take no part; rows that repeat an id
 count once (smallest vector); shorter vectors are read as padded with zeros;
-equal scores go to the smaller id; scores beyond 64 bits are clipped; empty
+equal scores go to the smaller id; scores beyond 64 bits are clipped before they are compared; empty
 tables give no rows; other columns are ignored.
 """
 
@@ -118,13 +118,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
                 out_q, out_v, out_s = [], [], []
                 for i in range(len(q_ids)):
                     s, v = score[i], ids[pos]
+                    if s.dtype == object:
+                        s = np.array([min(max(x, -2 ** 63), 2 ** 63 - 1) for x in s], object)
                     if len(s) > k and s.dtype != object:
                         floor[i] = max(floor[i], np.partition(s, -(k + 1))[-(k + 1)])
                     on = np.flatnonzero((s >= floor[i] if s.dtype != object else True) & (v != q_ids[i]))
-                    on = on[np.lexsort((v[on], -s[on]))][:k]
+                    if s.dtype == object:
+                        on = np.array(sorted(on, key=lambda j: (-s[j], v[j])), np.int64)[:k]
+                    else:
+                        on = on[np.lexsort((v[on], -s[on]))][:k]
                     out_q += [int(q_ids[i])] * len(on)
                     out_v += v[on].tolist()
-                    out_s += [min(max(int(x), -2 ** 63), 2 ** 63 - 1) for x in s[on]]
+                    out_s += map(int, s[on])
                 yield pd.DataFrame({"query_id": out_q, "vec_id": out_v, "score": out_s}).astype("int64")
 
     found = (cand.join(asked, F.col("block") == F.col("b")).drop("b", "block")
