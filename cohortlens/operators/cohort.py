@@ -13,8 +13,10 @@ without a theta join:
   (blocks < b* hold fewer than n matches, block b* holds ≤ N/B rows), then
   ``row_number`` per request keeps the n smallest ids.
 
-Work per request is bounded by n + N/B regardless of how broad the request
-is, and a hot combo (a third of all rows) is split by block.
+Only (request, combo, block) triples that hold a match meet patients, so a
+request that matches nobody joins nothing; a broad one reads at most n plus one
+block (512 patients, or N/1024 above 524,288). A hot combo (a third of all
+rows) is split by block.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ COMBO = ["Sex", "Diabetes_Target", "Has_Hypertension", "Has_Hypothyroidism"]
 NOISE_SCALE = 0.05          # fixed value: noise std multiplier of the generator
 POOL_NOISE_SCALE = 0.02     # fixed value: multiplier of the pool variant
 POOL_MULTIPLIERS = [10, 25, 50]
-POOL_CAP = 50_000
 
 
 # ------------------------------------------------------------- P10 filter
@@ -151,10 +152,11 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
     hi_i = F.least(F.coalesce(amax, F.lit(a1)) - a0, F.lit(width - 1))
     upto = lambda i: F.when(i < 0, F.lit(0)).otherwise(F.element_at(F.col("cum"), i + 1))
     in_age = F.when(hi_i < lo_i, F.lit(0)).otherwise(upto(hi_i) - upto(lo_i - 1))
-    per = (combos.join(cnt, on).select(
-        "request_id", "n_req", "blk",
-        (in_age + F.when(amin.isNull() & amax.isNull(), F.col("n_null")).otherwise(0)).alias("m"))
-        .groupBy("request_id", "n_req", "blk").agg(F.sum("m").alias("m")))
+    # (request, combo, block) that hold a match: what the patients are joined with later
+    hits = reuse(combos.join(cnt, on).select(
+        "request_id", "n_req", "age_min", "age_max", "blk", *[combos[c] for c in COMBO],
+        (in_age + F.when(amin.isNull() & amax.isNull(), F.col("n_null")).otherwise(0)).alias("m")).where("m > 0"))
+    per = hits.groupBy("request_id", "n_req", "blk").agg(F.sum("m").alias("m"))
     w = Window.partitionBy("request_id").orderBy("blk").rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumn("cum", F.sum("m").over(w))
     stop = per.groupBy("request_id", "n_req").agg(
@@ -166,8 +168,7 @@ def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patie
             "request_id", "requested", F.coalesce("matched", F.lit(0)).cast("bigint").alias("matched"),
             F.least(F.col("requested").cast("bigint"), F.coalesce("matched", F.lit(0)).cast("bigint"))
             .alias("delivered"))
-    want = (combos.join(stop.select("request_id", "bstar"), "request_id")
-            .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("bstar")))))
+    want = hits.join(stop.select("request_id", "bstar"), "request_id").where(F.col("blk") <= F.col("bstar"))
     ww, pp = want.alias("ww"), p.alias("pp")
     on2 = [F.col(f"ww.{c}").eqNullSafe(F.col(f"pp.{c}")) for c in COMBO] + [F.col("ww.blk") == F.col("pp.blk")]
     a = F.col(f"pp.{age_col}")
@@ -236,13 +237,12 @@ def _global_rank(df: DataFrame, h: Column, key: list[str]) -> DataFrame:
     s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     from cohortlens.operators.privacy import materialize
     s = materialize(s)
-    counts = sorted((row["_pid"], row["c"]) for row in s.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
-    off, acc = {}, 0
-    for pid, c in counts:
-        off[pid], acc = acc, acc + c
-    offs = F.create_map(*[x for pid, o in off.items() for x in (F.lit(pid), F.lit(o))]) if off else None
+    # one row per partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).select(
+        "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return s.withColumn("_rk", offs[F.col("_pid")] + pos).drop("_h", "_pid", "_mid")
+    return s.join(offs, "_pid").withColumn("_rk", F.col("_off") + pos).drop("_h", "_pid", "_mid", "_off")
 
 
 # ------------------------------------------------- G7 perturbed resampling
@@ -291,19 +291,24 @@ def generate_perturbed(df: DataFrame, n: int, constraints: dict, seed: int, key:
 
 
 def generate_until(df: DataFrame, n: int, constraints: dict, seed: int, key: list[str],
-                   multipliers=POOL_MULTIPLIERS, cap: int = POOL_CAP) -> DataFrame:
-    """Quota filling (G8): up to three pools of n×10, ×25, ×50 rows (≤ cap)
-    drawn from the whole table with small noise, filtered by the request,
-    appended and de-duplicated until n rows; a short driver loop of
-    ``count`` actions, each round one plan."""
-    collected = None
-    for attempt, mult in enumerate(multipliers, 1):
-        pool_n = min(n * mult, cap)
-        pool, _ = generate_perturbed(df, pool_n, {}, seed + attempt, key, scale=POOL_NOISE_SCALE,
-                                     exclude=key)
-        got = cohort_filter(pool.drop("draw"), constraints)
-        collected = got if collected is None else collected.unionByName(got)
-        collected = collected.dropDuplicates()
-        if collected.count() >= n:
+                   multipliers=POOL_MULTIPLIERS, patience: int = 3) -> DataFrame:
+    """Quota filling (G8): pools of n×10, n×25, n×50 rows, then doubled, are
+    drawn from the whole table with small noise and filtered by the request;
+    the first n distinct rows in draw order are returned. Ends early only if
+    ``patience`` pools in a row bring no row at all (nobody matches)."""
+    from cohortlens.operators.privacy import materialize
+    values = df.columns
+    collected, attempt, barren = None, 0, 0
+    while barren < patience:
+        attempt += 1
+        mult = multipliers[attempt - 1] if attempt <= len(multipliers) else multipliers[-1] * 2 ** (attempt - len(multipliers))
+        pool, _ = generate_perturbed(df, n * mult, {}, seed + attempt, key, scale=POOL_NOISE_SCALE, exclude=key)
+        got = cohort_filter(pool, constraints).withColumn("_turn", F.struct(F.lit(attempt).alias("a"), "draw")).drop("draw")
+        got = got if collected is None else collected.unionByName(got)
+        before = 0 if collected is None else have
+        collected = materialize(got.groupBy(*values).agg(F.min("_turn").alias("_turn")))
+        have = collected.count()
+        if have >= n:
             break
-    return collected.orderBy(*key).limit(n)
+        barren = 0 if have > before else barren + 1
+    return collected.orderBy("_turn").limit(n).drop("_turn")

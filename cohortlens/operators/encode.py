@@ -39,25 +39,9 @@ def label_codes(real: DataFrame, synth: DataFrame, cols: list[str]) -> DataFrame
     return group_rank(u, "feature", F.col("value"), ["value"], out="code").select("feature", "value", "code")
 
 
-MAP_LIMIT = 100_000   # code tables up to this size are applied as map constants
-
-
 def apply_codes(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace each categorical column by its code: a map constant when the
-    code table is small (size checked), else an equi-join per column."""
-    n = codes.count()
-    if n <= MAP_LIMIT:
-        maps = {}
-        for r in codes.collect():
-            maps.setdefault(r["feature"], []).append((r["value"], r["code"]))
-        out = []
-        for c in df.columns:
-            if c in cols:
-                m = F.create_map(*[x for v, k in sorted(maps.get(c, [])) for x in (F.lit(v), F.lit(k))])
-                out.append(m[F.coalesce(F.col(c).cast("string"), F.lit("nan"))].alias(c))
-            else:
-                out.append(F.col(c))
-        return df.select(*out)
+    """Replace each categorical column by its code: an equi-join per column
+    (Spark broadcasts a code table that is small)."""
     order = df.columns
     for c in cols:
         cc = codes.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_k_{c}"))

@@ -38,9 +38,10 @@ def class_shares(df: DataFrame, target: str, name: str = "cls") -> DataFrame:
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """(value, n, share) of a column as is (A4)."""
+    total = df.select(F.count(col)).first()[0]
     h = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    return h.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return h.withColumn("share", F.col("n") / F.lit(total))
 
 
 def _aligned(real: DataFrame, synth: DataFrame, target: str) -> DataFrame:

@@ -24,27 +24,33 @@ def _pair_list(cols, diagonal=True):
     return [(a, b) for i, a in enumerate(cols) for b in cols[(i if diagonal else i + 1):]]
 
 
+WIDE_PAIRS = 1000   # pairs aggregated in one plan (44 columns)
+
+
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation, long form (col_a, col_b, corr) for all k×k
-    ordered pairs (diagonal included). Constant column → NULL (pandas NaN)."""
+    ordered pairs (diagonal included). Each pair is computed over the rows
+    where both are present (means and deviations too). A column that is
+    constant there → NULL (pandas NaN). Wide tables are aggregated a block of
+    pairs at a time, so no plan holds more than WIDE_PAIRS of them."""
     cols = list(cols)
-    aggs = [F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]
-    idx = {c: i for i, c in enumerate(cols)}
-    pairs = _pair_list(cols, diagonal=False)
-    aggs += [F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{idx[a]}_{idx[b]}")
-             for a, b in pairs]
-    a = df.agg(*aggs)
-    parts = []
-    for x in cols:
-        for y in cols:
-            i, j = idx[x], idx[y]
-            if i == j:
-                e = f"CASE WHEN s{i} > 0 THEN 1.0D ELSE CAST(NULL AS DOUBLE) END"
-            else:
-                lo, hi = min(i, j), max(i, j)
-                e = f"try_divide(c{lo}_{hi}, s{lo} * s{hi})"
-            parts.append(f"'{x}', '{y}', {e}")
-    return a.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (col_a, col_b, corr)")
+    pairs = _pair_list(cols)
+    out = None
+    for at in range(0, len(pairs), WIDE_PAIRS):
+        some = pairs[at:at + WIDE_PAIRS]
+        aggs = []
+        for n, (a, b) in enumerate(some):
+            x, y = F.col(a).cast("double"), F.col(b).cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            x, y = F.when(both, x), F.when(both, y)
+            spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+            aggs.append(F.when(spread, F.lit(1.0) if a == b else F.corr(x, y)).alias(f"r{n}"))
+        rows = ", ".join(f"'{a}', '{b}', r{n}" for n, (a, b) in enumerate(some))
+        rows += "".join(f", '{b}', '{a}', r{n}" for n, (a, b) in enumerate(some) if a != b)
+        k = len(some) + sum(a != b for a, b in some)
+        part = df.agg(*aggs).selectExpr(f"stack({k}, {rows}) AS (col_a, col_b, corr)")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def corr_mae(real: DataFrame, synth: DataFrame, cols: list[str], dp: int | None = 4) -> DataFrame:
@@ -56,13 +62,14 @@ def corr_mae(real: DataFrame, synth: DataFrame, cols: list[str], dp: int | None
     return m.select((br(F.col("mae"), dp) if dp is not None else F.col("mae")).alias("corr_matrix_mae"))
 
 
-def pairwise_trends(real: DataFrame, synth: DataFrame, cols: list[str], profile: str = "core") -> DataFrame:
+def pairwise_trends(real: DataFrame, synth: DataFrame, cols: list[str], profile: str = "core",
+                    first: int | None = None) -> DataFrame:
     """Share of column pairs whose correlation trend is preserved.
 
     core: all pairs i<j, sign(r) == sign(s), NULL never matches.
-    full: pairs among the first 10 columns; both > 0, both < 0, or both
-    |r| < 0.05."""
-    cols = list(cols) if profile == "core" else list(cols)[:10]
+    full: both > 0, both < 0, or both |r| < 0.05. ``first`` takes the pairs
+    among the first so many columns only."""
+    cols = list(cols)[:first]
     order = {(a, b): n for n, (a, b) in enumerate(_pair_list(cols, diagonal=False))}
     keep = F.create_map(*[x for (a, b) in order for x in (F.lit(f"{a}|{b}"), F.lit(True))])
     r = correlation(real, cols).withColumnRenamed("corr", "cr")
@@ -90,19 +97,20 @@ def unpivot(df: DataFrame, cols: list[str], value: str = "value") -> DataFrame:
     return df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, {value})").where(F.col(value).isNotNull())
 
 
-def ks_statistics(real: DataFrame, synth: DataFrame, cols: list[str], blocks: int = 64) -> DataFrame:
+def ks_statistics(real: DataFrame, synth: DataFrame, cols: list[str], block_values: int = 20_000) -> DataFrame:
     """Two-sample KS statistic per column with sizes: (column, ks_statistic,
-    n_real, n_synth). Exact: sup |F_r − F_s| over all observed values."""
+    n_real, n_synth). Exact: sup |F_r − F_s| over all observed values. Blocks
+    hold about ``block_values`` distinct values of a column, however many
+    there are."""
     u = (unpivot(real, cols).withColumn("_s", F.lit(0))
          .unionByName(unpivot(synth, cols).withColumn("_s", F.lit(1))))
     from cohortlens.operators.privacy import reuse
     # distinct (feature, value) counts feed four branches below: read the tables once
     h = reuse(u.groupBy("feature", "value").agg(F.sum(1 - F.col("_s")).alias("cr"), F.sum("_s").alias("cs")))
-    # block edges: approximate quantiles of the distinct values (k × blocks numbers)
-    probs = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-    edges = h.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("edges"))
-    hb = h.join(F.broadcast(edges), "feature").withColumn(
-        "blk", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges")
+    # blocks are ranges: rows are range-partitioned by (feature, value), so a block is a partition
+    n_blocks = max(1, -(-h.count() // block_values))
+    from cohortlens.operators.privacy import materialize
+    hb = materialize(h.repartitionByRange(n_blocks, "feature", "value").withColumn("blk", F.spark_partition_id()))
     tot = hb.groupBy("feature", "blk").agg(F.sum("cr").alias("br_"), F.sum("cs").alias("bs_"))
     wb = Window.partitionBy("feature").orderBy("blk")
     wc = Window.partitionBy("feature")

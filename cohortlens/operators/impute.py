@@ -5,9 +5,9 @@ their null count; each visit fits a regressor on the rows where the column
 was observed (features: all other columns' current values) and replaces the
 originally-missing cells with its predictions.
 
-* ``'linear'``: ordinary least squares from *one* Gram aggregate per visit
-  (k² sums, map-side combined) solved on the driver (k × k), applied as a
-  column expression.
+* ``'linear'``: ordinary least squares from one aggregate of means and
+  deviations and one of the k² centred products (map-side combined), solved on
+  the driver (k × k), applied as a column expression.
 * ``'gbt'``: MLlib ``GBTRegressor`` per visit (rounds × columns fits).
 
 The plan grows by one projection per visit, so lineage is cut with a
@@ -22,22 +22,26 @@ from pyspark.sql import functions as F
 
 
 def _linear_pred(cur: DataFrame, target: str, feats: list[str], miss: str):
-    x = [F.lit(1.0)] + [F.col(c).cast("double") for c in feats]
-    y = F.col(target).cast("double")
-    obs = cur.where(~F.col(miss))
-    aggs = [F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]
-    aggs += [F.sum(x[i] * y).alias(f"b{i}") for i in range(len(x))]
-    r = obs.agg(*aggs).first()
-    k = len(x)
-    G = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            G[i, j] = G[j, i] = r[f"g{i}_{j}"] or 0.0
-    b = np.array([r[f"b{i}"] or 0.0 for i in range(k)])
-    coef = np.linalg.lstsq(G, b, rcond=None)[0]
-    pred = F.lit(float(coef[0]))
-    for c, w in zip(feats, coef[1:]):
-        pred = pred + F.lit(float(w)) * F.col(c).cast("double")
+    """OLS on columns centred and scaled over the observed rows, so that keys
+    and other large offsets do not cost digits. One scan for means and
+    deviations, one for the cross products."""
+    obs, cols = cur.where(~F.col(miss)), [*feats, target]
+    st = obs.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    mean = [st[f"m{i}"] or 0.0 for i in range(len(cols))]
+    std = [st[f"s{i}"] or 0.0 for i in range(len(cols))]
+    use = [i for i in range(len(feats)) if std[i] > 1e-12 * max(1.0, abs(mean[i]))]
+    if not use:
+        return F.lit(float(mean[-1]))
+    z = lambda i: (F.col(cols[i]).cast("double") - F.lit(mean[i])) / F.lit(std[i])
+    y = F.col(target).cast("double") - F.lit(mean[-1])
+    r = obs.agg(*[F.avg(z(i) * z(j)).alias(f"g{i}_{j}") for a, i in enumerate(use) for j in use[a:]],
+                *[F.avg(z(i) * y).alias(f"b{i}") for i in use]).first()
+    G = np.array([[r[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in use] for i in use])
+    coef = np.linalg.lstsq(G, np.array([r[f"b{i}"] or 0.0 for i in use]), rcond=1e-12)[0]
+    pred = F.lit(float(mean[-1]))
+    for i, w in zip(use, coef):
+        pred = pred + F.lit(float(w)) * z(i)
     return pred
 
 

@@ -2,9 +2,9 @@
 
 Each view exists twice: a DataFrame builder (used by ``queries()``) and a SQL
 text (inlined as a CTE into ``oracle_sql()``). The two must stay equal.
-Both sides read whole tables; ``real_li`` and ``synth_li`` are a split of
-``lineitem`` into two halves (a "real" and a shifted "synthetic" copy), not a
-sample.
+Both sides read whole tables: one-table operators use ``li`` (all rows of
+``lineitem``); two-table operators compare its two halves ``real_li`` and
+``synth_li`` (the latter with a shifted price and re-labelled classes).
 """
 
 from __future__ import annotations
@@ -21,17 +21,17 @@ LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "flag_cls
 LI_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _li(spark, d, synthetic: bool) -> DataFrame:
+def _li(spark, d, synthetic: bool | None) -> DataFrame:
     li = table(spark, d, "lineitem")
+    if synthetic:   # class shift: late lines of returned orders count as not returned
+        li = li.withColumn("l_returnflag", F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 3), "N")
+                           .otherwise(F.col("l_returnflag")))
     flag = (F.when(F.col("l_returnflag") == "N", 0).when(F.col("l_returnflag") == "A", 1)
             .otherwise(2))
     status = F.when(F.col("l_linestatus") == "F", 1).otherwise(0)
     price = F.col("l_extendedprice") * F.lit(1.1) if synthetic else F.col("l_extendedprice")
-    if synthetic:
-        li = li.where((F.col("l_orderkey") % 2 == 1)
-                      & ~((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 3)))
-    else:
-        li = li.where(F.col("l_orderkey") % 2 == 0)
+    if synthetic is not None:
+        li = li.where(F.col("l_orderkey") % 2 == int(synthetic))
     return li.select(*LI_KEY[:2], "l_partkey", "l_suppkey", "l_quantity",
                      price.alias("l_extendedprice"), "l_discount", "l_tax",
                      flag.alias("flag_cls"), status.alias("status_bin"),
@@ -40,6 +40,10 @@ def _li(spark, d, synthetic: bool) -> DataFrame:
         "l_discount", "l_tax", "flag_cls", "status_bin", "l_returnflag", "l_linestatus")
 
 
+def li(spark: SparkSession, d: str) -> DataFrame:
+    return _li(spark, d, None)
+
+
 def real_li(spark: SparkSession, d: str) -> DataFrame:
     return _li(spark, d, False)
 
@@ -168,7 +172,14 @@ def emb_synth(spark, d):
 # SQL text of the same views (runs unchanged in DuckDB; CTE bodies)
 # --------------------------------------------------------------------------
 
+_LI_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+       CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS flag_cls,
+       CASE l_linestatus WHEN 'F' THEN 1 ELSE 0 END AS status_bin, l_returnflag, l_linestatus
+FROM lineitem"""
+
 SQL = {
+    "li": _LI_SQL,
     "real_li": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
        CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS flag_cls,
@@ -179,7 +190,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
        l_discount, l_tax,
        CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS flag_cls,
        CASE l_linestatus WHEN 'F' THEN 1 ELSE 0 END AS status_bin, l_returnflag, l_linestatus
-FROM lineitem WHERE l_orderkey % 2 = 1 AND NOT (l_returnflag = 'R' AND l_linenumber > 3)""",
+FROM (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' AND l_linenumber > 3 THEN 'N' ELSE l_returnflag END AS l_returnflag)
+      FROM lineitem) AS lineitem WHERE l_orderkey % 2 = 1""",
     "dirty_b": """
 SELECT o_orderkey,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 101 = 0 THEN -1.0 ELSE o_totalprice END

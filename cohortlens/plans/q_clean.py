@@ -160,16 +160,16 @@ def q_union_distinct(spark, d):
 
 # ----------------------------------------------------------- I3 round types
 _RT_SRC = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount * 10 AS disc_bin,
-                    l_extendedprice / 100 AS price_int, l_tax FROM real_li"""
+                    l_extendedprice / 100 AS price_int, l_tax FROM li"""
 
 
 @register("round_types", with_views(f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CAST(least(greatest(round_even(CAST(disc_bin AS DOUBLE), 0), 0.0), 1.0) AS INT) AS disc_bin,
        CAST(round_even(CAST(price_int AS DOUBLE), 0) AS BIGINT) AS price_int, l_tax
-FROM src""", "real_li", ctes=[("src", _RT_SRC)]))
+FROM src""", "li", ctes=[("src", _RT_SRC)]))
 def q_round_types(spark, d):
-    r = fx.real_li(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    r = fx.li(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                    (F.col("l_discount") * 10).alias("disc_bin"),
                                    (F.col("l_extendedprice") / 100).alias("price_int"), "l_tax")
     return cl.round_types(r, binary=["disc_bin"], integer=["price_int"])
@@ -207,24 +207,24 @@ UNION ALL SELECT 'range', 'status_bin', 'max', smax FROM a
 UNION ALL SELECT 'binary', 'flag_cls', 'non_binary', CAST(fb AS DOUBLE) FROM a
 UNION ALL SELECT 'binary', 'status_bin', 'non_binary', CAST(sb AS DOUBLE) FROM a
 UNION ALL SELECT 'table', '', 'duplicate_rows', CAST(n - g AS DOUBLE) FROM dd
-UNION ALL SELECT 'target', CAST(cls AS VARCHAR), 'share', round_even(share, 4) FROM t""", "real_li",
-    ctes=[("v", "SELECT l_quantity, flag_cls, status_bin FROM real_li"), ("a", _VP_A), ("dd", _VP_DD),
+UNION ALL SELECT 'target', CAST(cls AS VARCHAR), 'share', round_even(share, 4) FROM t""", "li",
+    ctes=[("v", "SELECT l_quantity, flag_cls, status_bin FROM li"), ("a", _VP_A), ("dd", _VP_DD),
           ("t", _VP_T)]))
 def q_validate_profile(spark, d):
-    v = fx.real_li(spark, d).select("l_quantity", "flag_cls", "status_bin")
+    v = fx.li(spark, d).select("l_quantity", "flag_cls", "status_bin")
     return cl.validate_profile(v, _VAL_BIN, target="flag_cls")
 
 
 @register("binary_violations", with_views("""
 SELECT 'status_bin' AS column, count_if(status_bin NOT IN (0, 1)) AS non_binary,
        coalesce(list_sort(list_distinct(list(CAST(status_bin AS DOUBLE)) FILTER (WHERE status_bin NOT IN (0, 1)))), []::DOUBLE[])
-         AS bad_values FROM real_li
+         AS bad_values FROM li
 UNION ALL
 SELECT 'flag_cls', count_if(flag_cls NOT IN (0, 1)),
-       coalesce(list_sort(list_distinct(list(CAST(flag_cls AS DOUBLE)) FILTER (WHERE flag_cls NOT IN (0, 1)))), []::DOUBLE[]) FROM real_li""",
-                                          "real_li"))
+       coalesce(list_sort(list_distinct(list(CAST(flag_cls AS DOUBLE)) FILTER (WHERE flag_cls NOT IN (0, 1)))), []::DOUBLE[]) FROM li""",
+                                          "li"))
 def q_binary_violations(spark, d):
-    return cl.binary_violations(fx.real_li(spark, d), _VAL_BIN)
+    return cl.binary_violations(fx.li(spark, d), _VAL_BIN)
 
 
 # ----------------------------------------------------- I4 cleaning pipeline

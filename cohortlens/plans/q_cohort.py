@@ -224,9 +224,9 @@ LI_KEY = fx.LI_KEY
 @register("sample_hash", with_views(f"""
 SELECT {', '.join(LI_KEY)}, l_extendedprice,
        row_number() OVER (ORDER BY {sql_hash_uniform(42, LI_KEY)}, {', '.join(LI_KEY)}) - 1 AS draw
-FROM real_li ORDER BY {sql_hash_uniform(42, LI_KEY)}, {', '.join(LI_KEY)} LIMIT 1000""", "real_li"))
+FROM li ORDER BY {sql_hash_uniform(42, LI_KEY)}, {', '.join(LI_KEY)} LIMIT 1000""", "li"))
 def q_sample_hash(spark, d):
-    r = fx.real_li(spark, d).select(*LI_KEY, "l_extendedprice")
+    r = fx.li(spark, d).select(*LI_KEY, "l_extendedprice")
     return co.sample_n(r, 1000, 42, LI_KEY).withColumn("draw", F.col("draw").cast("bigint"))
 
 

@@ -54,7 +54,7 @@ _MM_P = ("SELECT " + ", ".join(
     f"CASE WHEN max(CAST({c} AS DOUBLE)) - min(CAST({c} AS DOUBLE)) >= 1e-12 "
     f"THEN max(CAST({c} AS DOUBLE)) - min(CAST({c} AS DOUBLE)) ELSE 1.0 END AS d_{c}, "
     f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in _MM_NUM)
-    + ", list_sort(list_distinct(list(l_returnflag))) AS k_rf FROM real_li")
+    + ", list_sort(list_distinct(list(l_returnflag))) AS k_rf FROM li")
 
 
 def _mm_enc(c):
@@ -66,9 +66,9 @@ _RF_ENC = ("(coalesce(list_position(k_rf, l_returnflag) - 1, 0) / greatest(len(k
 
 @register("minmax_encode", with_views(
     f"SELECT {', '.join(KEY)}, " + ", ".join(f"{sb.r6(_mm_enc(c))} AS {c}" for c in _MM_NUM)
-    + f", {sb.r6(_RF_ENC)} AS l_returnflag FROM real_li, p", "real_li", ctes=[("p", _MM_P)]))
+    + f", {sb.r6(_RF_ENC)} AS l_returnflag FROM li, p", "li", ctes=[("p", _MM_P)]))
 def q_minmax_encode(spark, d):
-    r = fx.real_li(spark, d)
+    r = fx.li(spark, d)
     enc = en.MinMaxEncoder.fit(r.select(*MM_COLS))
     t = enc.transform(r.select(*KEY, *MM_COLS))
     return t.select(*KEY, *[r6(F.col(c)).alias(c) for c in MM_COLS])
@@ -85,9 +85,9 @@ _RF_DEC = ("k_rf[CAST(least(greatest(round_even(" + _RF_ENC + " * greatest(len(k
 
 @register("minmax_roundtrip", with_views(
     f"SELECT {', '.join(KEY)}, " + ", ".join(f"{_mm_dec(c)} AS {c}" for c in _MM_NUM)
-    + f", {_RF_DEC} AS l_returnflag FROM real_li, p", "real_li", ctes=[("p", _MM_P)]))
+    + f", {_RF_DEC} AS l_returnflag FROM li, p", "li", ctes=[("p", _MM_P)]))
 def q_minmax_roundtrip(spark, d):
-    r = fx.real_li(spark, d)
+    r = fx.li(spark, d)
     enc = en.MinMaxEncoder.fit(r.select(*MM_COLS))
     back = enc.inverse(enc.transform(r.select(*KEY, *MM_COLS)))
     return back.select(*KEY, *[r6(F.col(c)).alias(c) if c not in ("flag_cls", "l_returnflag") else F.col(c)
@@ -119,15 +119,15 @@ _RANKED = (f"SELECT *, CAST(round_even(CAST(flag_cls AS DOUBLE), 0) AS INT) AS c
 
 @register("stratified_split", with_views(f"""
 SELECT {', '.join(KEY)}, CASE WHEN rk < ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
-FROM ranked JOIN (SELECT cls, count(*) AS n FROM ranked GROUP BY cls) c USING (cls)""", "real_li",
-                                         ctes=[("ranked", _RANKED.format(v="real_li"))]))
+FROM ranked JOIN (SELECT cls, count(*) AS n FROM ranked GROUP BY cls) c USING (cls)""", "li",
+                                         ctes=[("ranked", _RANKED.format(v="li"))]))
 def q_stratified_split(spark, d):
-    r = sa.stratified_split(fx.real_li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 0.2, 42, KEY)
+    r = sa.stratified_split(fx.li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 0.2, 42, KEY)
     return r.select(*KEY, "split")
 
 
 _BAL_CTES = [
-    ("ranked", _RANKED.format(v="synth_li")),
+    ("ranked", _RANKED.format(v="li")),
     ("cnt", "SELECT cls, count(*) AS n FROM ranked GROUP BY cls"),
     ("tt", "SELECT CAST(floor(quantile_cont(n, 0.5)) AS BIGINT) AS t FROM cnt"),
     ("bal", f"""SELECT cls, rk AS draw, {', '.join(KEY)} FROM ranked, tt
@@ -140,22 +140,22 @@ _BAL_CTES = [
 ]
 
 
-@register("balance", with_views("SELECT cls, count(*) AS n FROM bal GROUP BY cls", "synth_li", ctes=_BAL_CTES))
+@register("balance", with_views("SELECT cls, count(*) AS n FROM bal GROUP BY cls", "li", ctes=_BAL_CTES))
 def q_balance(spark, d):
-    b = sa.balance(fx.synth_li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 42, KEY)
+    b = sa.balance(fx.li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 42, KEY)
     return b.groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("balance_rows", with_views(f"SELECT cls, draw, {', '.join(KEY)} FROM bal", "synth_li", ctes=_BAL_CTES))
+@register("balance_rows", with_views(f"SELECT cls, draw, {', '.join(KEY)} FROM bal", "li", ctes=_BAL_CTES))
 def q_balance_rows(spark, d):
-    b = sa.balance(fx.synth_li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 42, KEY)
+    b = sa.balance(fx.li(spark, d).select(*KEY, "flag_cls"), "flag_cls", 42, KEY)
     return b.select("cls", F.col("draw").cast("bigint").alias("draw"), *KEY)
 
 
 # ------------------------------------------------------- E4 (rows only)
 @register("quantile_normal")
 def q_quantile_normal(spark, d):
-    r = fx.real_li(spark, d).select(*KEY, *_NUM, "l_returnflag")
+    r = fx.li(spark, d).select(*KEY, *_NUM, "l_returnflag")
     enc = en.QuantileNormalEncoder.fit(r.select(*_NUM, "l_returnflag"))
     z = enc.transform(r)
     back = enc.inverse(z)

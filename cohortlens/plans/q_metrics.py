@@ -37,10 +37,10 @@ def q_class_distribution(spark, d):
 # -------------------------------------------------------------- A4 value_shares
 @register("value_shares", with_views("""
 SELECT value, n, n / sum(n) OVER () AS share FROM (
-  SELECT l_returnflag AS value, count(*) AS n FROM real_li WHERE l_returnflag IS NOT NULL GROUP BY 1) h""",
-                                     "real_li"))
+  SELECT l_returnflag AS value, count(*) AS n FROM li WHERE l_returnflag IS NOT NULL GROUP BY 1) h""",
+                                     "li"))
 def q_value_shares(spark, d):
-    return fa.value_shares(fx.real_li(spark, d), "l_returnflag")
+    return fa.value_shares(fx.li(spark, d), "l_returnflag")
 
 
 # -------------------------------------------------------------- P11 class_labels
@@ -50,9 +50,9 @@ _LAB_T = "TenYearCHD"  # labels 0 and 1; class 2 exercises the 'Class <v>' fallb
 @register("class_labels", with_views(f"""
 SELECT cls, n, {sb.label_case(_LAB_T, 'cls', fa.CLASS_LABELS[_LAB_T])} AS label FROM (
   SELECT CAST(round_even(CAST(flag_cls AS DOUBLE), 0) AS INT) AS cls, count(*) AS n
-  FROM real_li WHERE flag_cls IS NOT NULL GROUP BY 1) h""", "real_li"))
+  FROM li WHERE flag_cls IS NOT NULL GROUP BY 1) h""", "li"))
 def q_class_labels(spark, d):
-    sh = fa.class_shares(fx.real_li(spark, d), TARGET).select("cls", "n")
+    sh = fa.class_shares(fx.li(spark, d), TARGET).select("cls", "n")
     return fa.label_classes(sh, "cls", _LAB_T)
 
 
@@ -105,9 +105,9 @@ NUM = fx.LI_NUMERIC
 
 
 @register("corr_matrix", with_views(
-    f"SELECT col_a, col_b, {sb.r6('corr')} AS corr FROM {sb.corr_long('real_li', FEAT)} c", "real_li"))
+    f"SELECT col_a, col_b, {sb.r6('corr')} AS corr FROM {sb.corr_long('li', FEAT)} c", "li"))
 def q_corr_matrix(spark, d):
-    return fi.correlation(fx.real_li(spark, d), FEAT).select("col_a", "col_b", fa_r6("corr"))
+    return fi.correlation(fx.li(spark, d), FEAT).select("col_a", "col_b", fa_r6("corr"))
 
 
 def fa_r6(c):
@@ -143,7 +143,7 @@ _TF = "coalesce((r.corr > 0 AND s.corr > 0) OR (r.corr < 0 AND s.corr < 0) OR (a
 @register("trend_full", with_views(f"""
 SELECT {sb.br(f'count_if({_TF}) / greatest(count(*), 1) * 100', 1)} AS trend_accuracy_pct, count(*) AS pairs_checked
 FROM {sb.corr_long('real_li', FEAT)} r JOIN {sb.corr_long('synth_li', FEAT)} s USING (col_a, col_b)
-WHERE col_a || '|' || col_b IN ({_pairs_in(FEAT[:10])})""", "real_li", "synth_li"))
+WHERE col_a || '|' || col_b IN ({_pairs_in(FEAT)})""", "real_li", "synth_li"))
 def q_trend_full(spark, d):
     return fi.pairwise_trends(fx.real_li(spark, d), fx.synth_li(spark, d), FEAT, "full")
 
@@ -206,9 +206,9 @@ def q_histogram_overlay(spark, d):
 @register("box_stats", with_views(f"""
 SELECT {sb.r6('min(l_extendedprice)')} AS min, {sb.r6('quantile_cont(l_extendedprice, 0.25)')} AS q1,
        {sb.r6('quantile_cont(l_extendedprice, 0.5)')} AS median, {sb.r6('quantile_cont(l_extendedprice, 0.75)')} AS q3,
-       {sb.r6('max(l_extendedprice)')} AS max, {sb.r6('avg(l_extendedprice)')} AS mean FROM real_li""", "real_li"))
+       {sb.r6('max(l_extendedprice)')} AS max, {sb.r6('avg(l_extendedprice)')} AS mean FROM li""", "li"))
 def q_box_stats(spark, d):
-    return fi.box_stats(fx.real_li(spark, d), "l_extendedprice")
+    return fi.box_stats(fx.li(spark, d), "l_extendedprice")
 
 
 @register("moments", with_views(f"""

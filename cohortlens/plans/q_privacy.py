@@ -124,11 +124,11 @@ _KB_CORE = [
     ("e", f"""SELECT list_sort(list_distinct(list_transform(quantile_cont(l_quantity, {_DEC}), lambda y: round(y, 6))))
                 AS eq,
               list_sort(list_distinct(list_transform(quantile_cont(l_extendedprice, {_DEC}), lambda y: round(y, 6))))
-                AS ep FROM synth_li"""),
+                AS ep FROM li"""),
     ("g", """SELECT len(list_filter(eq[2:len(eq) - 1], lambda y: y < l_quantity)) AS l_quantity,
                     len(list_filter(ep[2:len(ep) - 1], lambda y: y < l_extendedprice)) AS l_extendedprice,
                     flag_cls, count(*) AS k
-             FROM synth_li, e GROUP BY ALL"""),
+             FROM li, e GROUP BY ALL"""),
 ]
 
 
@@ -138,11 +138,11 @@ def _inner(mn, mx):
 
 _KB_FULL = [
     ("e", """SELECT min(l_quantity) AS qa, max(l_quantity) AS qb, min(l_extendedprice) AS pa,
-                    max(l_extendedprice) AS pb FROM synth_li"""),
+                    max(l_extendedprice) AS pb FROM li"""),
     ("g", f"""SELECT len(list_filter({_inner('qa', 'qb')}, lambda y: y < l_quantity)) AS l_quantity,
                      len(list_filter({_inner('pa', 'pb')}, lambda y: y < l_extendedprice)) AS l_extendedprice,
                      flag_cls, count(*) AS k
-              FROM synth_li, e GROUP BY ALL"""),
+              FROM li, e GROUP BY ALL"""),
 ]
 
 _BUCKETS = [("d_1_5", "k <= 5"), ("d_6_10", "k > 5 AND k <= 10"), ("d_11_20", "k > 10 AND k <= 20"),
@@ -158,24 +158,24 @@ def _kanon_sql(full: bool):
     else:
         head = (f"CAST(min(k) AS BIGINT) AS k_min, CAST(floor(quantile_cont(k, 0.5)) AS BIGINT) AS k_median, "
                 f"{sb.br('avg(k)', 2)} AS k_mean")
-    return with_views(f"SELECT {head}, {pct} AS pct_records_k_leq_5, {dist} FROM g", "synth_li",
+    return with_views(f"SELECT {head}, {pct} AS pct_records_k_leq_5, {dist} FROM g", "li",
                       ctes=_KB_FULL if full else _KB_CORE)
 
 
 @register("kanon_core", _kanon_sql(False))
 def q_kanon_core(spark, d):
-    return pv.k_anonymity(fx.synth_li(spark, d), QIS, "core")
+    return pv.k_anonymity(fx.li(spark, d), QIS, "core")
 
 
 @register("kanon_full", _kanon_sql(True))
 def q_kanon_full(spark, d):
-    return pv.k_anonymity(fx.synth_li(spark, d), QIS, "full")
+    return pv.k_anonymity(fx.li(spark, d), QIS, "full")
 
 
-@register("kanon_groups", with_views("SELECT l_quantity, l_extendedprice, flag_cls, k FROM g", "synth_li",
+@register("kanon_groups", with_views("SELECT l_quantity, l_extendedprice, flag_cls, k FROM g", "li",
                                      ctes=_KB_CORE))
 def q_kanon_groups(spark, d):
-    return pv.k_groups(fx.synth_li(spark, d), QIS, "core").select(
+    return pv.k_groups(fx.li(spark, d), QIS, "core").select(
         F.col("l_quantity").cast("bigint").alias("l_quantity"),
         F.col("l_extendedprice").cast("bigint").alias("l_extendedprice"), "flag_cls", "k")
 

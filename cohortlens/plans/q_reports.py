@@ -48,7 +48,7 @@ METRICS = {
 }
 
 # ------------------------------------------------------ synthetic variants
-_ODD = fx.SQL["synth_li"].replace(" AND NOT (l_returnflag = 'R' AND l_linenumber > 3)", "")
+_ODD = fx.SQL["li"].replace("l_extendedprice,", "l_extendedprice * 1.1 AS l_extendedprice,", 1) + " WHERE l_orderkey % 2 = 1"
 VARIANTS = {
     "shifted": fx.SQL["synth_li"],
     "copy": _ODD.replace("l_extendedprice * 1.1 AS l_extendedprice", "l_extendedprice"),
