@@ -2,21 +2,21 @@
 
 Spark's exact ``percentile`` keeps a value → count map per group, which for a
 global quantile over a near-unique column ends in one task holding every
-distinct value. ``exact_quantiles`` finds the order statistics instead by
-histogram refinement:
+distinct value. ``exact_quantiles`` brackets the order statistics instead:
 
-1. one aggregate: n, min, max per column;
-2. for every wanted rank, repeatedly histogram the values still in its range
-   into ``buckets`` equal-width buckets (all targets of all columns in one
-   job per round), keep the bucket that holds the rank, and shrink the range
-   to that bucket's exact [min, max];
-3. once a target's range holds ≤ ``max_collect`` values, those values (not
-   the column) are fetched and the rank is read off.
+1. one aggregate: number of values, minimum and maximum per column;
+2. per round, a quantile sketch of the values still in the range of a wanted
+   rank gives edges that are values of the column, and one counting pass tells
+   how many values lie on each edge and between neighbouring edges. A rank on
+   an edge is found; else its range shrinks to the gap between two edges, a
+   fixed fraction of the values whatever their spread, so infinities and
+   outliers cost nothing and a round divides the values left by about
+   ``buckets``;
+3. ranges that hold at most ``max_collect`` values are fetched and read off.
 
-Bucket index is monotone in the value, so every round is exact; ties (even
-a third of the column on one value) end the search as soon as the range is
-a single value. Linear interpolation between neighbouring ranks matches
-numpy / DuckDB ``quantile_cont``.
+All targets of all columns share a round's two jobs. NULL and NaN are no
+values. Linear interpolation between neighbouring ranks matches numpy / DuckDB
+``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -27,100 +27,86 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 2048,
-                    max_collect: int = 50_000, max_rounds: int = 12) -> dict[str, list[float | None]]:
-    """{col: [quantile for each p in probs]} (None for an all-NULL column).
-    Runs a few small jobs; results are O(columns × probs) numbers."""
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 512,
+                    max_collect: int = 20_000) -> dict[str, list[float | None]]:
+    """{col: [quantile for each p in probs]} (None for a column without
+    values). Fetches O(columns × probs × buckets) numbers plus at most
+    ``max_collect`` values per open range."""
     if not cols:
         return {}
-    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
-                *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    targets = {}  # (ci, rank) -> state
-    for ci, c in enumerate(cols):
-        n = st[f"n{ci}"]
-        if not n:
-            continue
-        for p in probs:
-            pos = p * (n - 1)
-            for r in {math.floor(pos), math.ceil(pos)}:
-                targets.setdefault((ci, r), {"lo": st[f"a{ci}"], "hi": st[f"b{ci}"], "below": 0,
-                                             "cnt": n, "value": None})
     u = df.selectExpr(
         f"stack({len(cols)}, " + ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-        + ") AS (ci, x)").where(F.col("x").isNotNull())
+        + ") AS (ci, x)").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    st = {r["ci"]: r for r in u.groupBy("ci").agg(F.count("*").alias("n"), F.min("x").alias("a"),
+                                                  F.max("x").alias("b")).collect()}
+    found: dict[tuple[int, int], float] = {}
+    # open ranges: (column, low, high) exclusive -> (values below, values inside, ranks wanted)
+    open_: dict[tuple, tuple] = {}
+    for ci in st:
+        n, a, b = st[ci]["n"], st[ci]["a"], st[ci]["b"]
+        ranks = {r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+        found |= {(ci, r): v for r, v in ((0, a), (n - 1, b)) if r in ranks}
+        ranks -= {0, n - 1}
+        if ranks and a == b:
+            found |= {(ci, r): a for r in ranks}
+        elif ranks:
+            open_[ci, None, None] = (0, n, ranks)
 
-    def settle():
-        for t in targets.values():
-            if t["value"] is None and t["lo"] == t["hi"]:
-                t["value"] = t["lo"]
+    def inside(keys):
+        """Rows (t, x) of the values in the given ranges, t the range's place."""
+        conds = []
+        for ci, lo, hi in keys:
+            c = F.col("ci") == ci
+            c = c & (F.col("x") > F.lit(lo)) if lo is not None else c
+            conds.append(c & (F.col("x") < F.lit(hi)) if hi is not None else c)
+        places = F.array(*[F.when(c, F.lit(t)) for t, c in enumerate(conds)])
+        return u.select("x", F.explode(F.filter(places, lambda t: t.isNotNull())).alias("t"))
 
-    settle()
-    for _ in range(max_rounds):
-        open_t = [(k, t) for k, t in targets.items() if t["value"] is None and t["cnt"] > max_collect]
-        if not open_t:
-            break
-        # targets that share a range share one histogram (initially one per column)
-        groups: dict[tuple, list] = {}
-        for k, t in open_t:
-            groups.setdefault((k[0], t["lo"], t["hi"]), []).append((k, t))
-        gkeys = list(groups)
-        tc = F.array(*[F.lit(ci) for ci, _lo, _hi in gkeys])
-        tlo = F.array(*[F.lit(float(lo)) for _ci, lo, _hi in gkeys])
-        thi = F.array(*[F.lit(float(hi)) for _ci, _lo, hi in gkeys])
-        tw = F.array(*[F.lit(float((hi - lo) / buckets)) for _ci, lo, hi in gkeys])
-        x = F.col("x")
-        # a row may sit in several ranges: emit one row per range
-        ids = F.filter(F.sequence(F.lit(0), F.lit(len(gkeys) - 1)),
-                       lambda j: (F.element_at(tc, j + 1) == F.col("ci")) & (x >= F.element_at(tlo, j + 1))
-                       & (x <= F.element_at(thi, j + 1)))
-        e = u.select("x", F.explode(ids).alias("t"))
-        bexpr = F.least(F.floor((F.col("x") - F.element_at(tlo, F.col("t") + 1)) / F.element_at(tw, F.col("t") + 1)),
-                        F.lit(buckets - 1)).cast("int")
-        h = (e.groupBy("t", bexpr.alias("b"))
-             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
-        by_t: dict[int, list] = {}
-        for row in h:
-            by_t.setdefault(row["t"], []).append(row)
-        for j, g in enumerate(gkeys):
-            hist = sorted(by_t.get(j, []), key=lambda z: z["b"])
-            for (_ci, r), t in groups[g]:
-                acc = t["below"]
-                for row in hist:
-                    if acc + row["n"] > r:
-                        t.update(lo=row["mn"], hi=row["mx"], below=acc, cnt=row["n"])
-                        break
-                    acc += row["n"]
-        settle()
-    # final: fetch the (bounded) values left in each open range
-    open_t = [(k, t) for k, t in targets.items() if t["value"] is None]
-    if open_t:
-        fc = F.array(*[F.lit(ci) for (ci, _r), _t in open_t])
-        flo = F.array(*[F.lit(float(t["lo"])) for _k, t in open_t])
-        fhi = F.array(*[F.lit(float(t["hi"])) for _k, t in open_t])
-        cond = F.exists(F.sequence(F.lit(1), F.lit(len(open_t))),
-                        lambda j: (F.element_at(fc, j) == F.col("ci")) & (F.col("x") >= F.element_at(flo, j))
-                        & (F.col("x") <= F.element_at(fhi, j)))
-        rows = u.where(cond).collect()
-        by_c: dict[int, list[float]] = {}
-        for row in rows:
-            by_c.setdefault(row["ci"], []).append(row["x"])
-        for (ci, r), t in open_t:
-            vals = sorted(v for v in by_c.get(ci, []) if t["lo"] <= v <= t["hi"])
-            t["value"] = vals[r - t["below"]]
+    while large := [k for k, v in open_.items() if v[1] > max_collect]:
+        rows = inside(large)
+        grid = F.array(*[F.lit((i + 0.5) / buckets) for i in range(buckets)])
+        edges = {r["t"]: sorted(set(r["e"])) for r in rows.groupBy("t").agg(
+            F.percentile_approx("x", grid, 20 * buckets).alias("e")).collect()}
+        table = F.array(*[F.array(*[F.lit(float(e)) for e in edges[t]]) for t in range(len(large))])
+        own = F.element_at(table, F.col("t") + 1)
+        width = max(map(len, edges.values()))
+        below, upto = sorted_count(own, F.col("x"), True, width), sorted_count(own, F.col("x"), False, width)
+        counts: dict[int, dict[int, int]] = {}
+        # place 2k: between edges k-1 and k; place 2k + 1: on edge k
+        for r in rows.groupBy("t", (below + upto).alias("k")).agg(F.count("*").alias("n")).collect():
+            counts.setdefault(r["t"], {})[r["k"]] = r["n"]
+        for t, key in enumerate(large):
+            ci, lo, hi = key
+            before, _, ranks = open_.pop(key)
+            e = edges[t]
+            for k in sorted(counts.get(t, {})):
+                n = counts[t][k]
+                mine = {r for r in ranks if before <= r < before + n}
+                if mine and k % 2:
+                    found |= {(ci, r): e[k // 2] for r in mine}
+                elif mine:
+                    i = k // 2
+                    open_[ci, e[i - 1] if i else lo, e[i] if i < len(e) else hi] = (before, n, mine)
+                before += n
+    if open_:
+        keys = list(open_)
+        values: dict[int, list[float]] = {}
+        for r in inside(keys).collect():
+            values.setdefault(r["t"], []).append(r["x"])
+        for t, key in enumerate(keys):
+            before, _, ranks = open_[key]
+            v = sorted(values[t])
+            found |= {(key[0], r): v[r - before] for r in ranks}
     out = {}
     for ci, c in enumerate(cols):
-        n = st[f"n{ci}"]
-        res = []
+        out[c] = []
         for p in probs:
-            if not n:
-                res.append(None)
+            if ci not in st:
+                out[c].append(None)
                 continue
-            pos = p * (n - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = targets[(ci, lo_r)]["value"], targets[(ci, hi_r)]["value"]
-            res.append(a + (b - a) * (pos - lo_r))
-        out[c] = res
+            pos = p * (st[ci]["n"] - 1)
+            a, b = found[ci, math.floor(pos)], found[ci, math.ceil(pos)]
+            out[c].append(a if a == b or pos == math.floor(pos) else a + (b - a) * (pos - math.floor(pos)))
     return out
 
 

@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,9 @@ from cohortlens.functions.expr import br, r6
 from cohortlens.functions.quantiles import exact_quantiles
 from cohortlens.session import checkpoint_dir
 
+# the search functions travel with the job, so workers need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EXACT_EPS = 1e-6           # distance below which a record counts as copied
 _BLOCK = 4_000_000         # doubles per numpy distance block (≈ 32 MB)
 

@@ -115,6 +115,15 @@ def fa_r6(c):
     return r6(F.col(c)).alias(c)
 
 
+_NULLABLE = ["o_orderkey", "o_totalprice", "o_custkey"]
+
+
+@register("corr_nulls", with_views(
+    f"SELECT col_a, col_b, {sb.r6('corr')} AS corr FROM {sb.corr_long('dirty_ord', _NULLABLE)} c", "dirty_ord"))
+def q_corr_nulls(spark, d):
+    return fi.correlation(fx.dirty_ord(spark, d), _NULLABLE).select("col_a", "col_b", fa_r6("corr"))
+
+
 @register("corr_mae", with_views(f"""
 SELECT {sb.br('avg(abs(coalesce(r.corr, 0.0) - coalesce(s.corr, 0.0)))', 4)} AS corr_matrix_mae
 FROM {sb.corr_long('real_li', FEAT)} r JOIN {sb.corr_long('synth_li', FEAT)} s USING (col_a, col_b)""",

@@ -35,20 +35,13 @@ def r6(x: str) -> str:
 
 
 def corr_long(view: str, cols: list[str]) -> str:
-    """Long-form Pearson matrix (col_a, col_b, corr) as a subquery."""
-    aggs = [f"stddev_samp(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(cols)]
-    aggs += [f"covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c{i}_{j}"
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-    parts = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                e = f"CASE WHEN s{i} > 0 THEN 1.0 ELSE NULL END"
-            else:
-                lo, hi = min(i, j), max(i, j)
-                e = f"CASE WHEN s{lo} * s{hi} = 0 THEN NULL ELSE c{lo}_{hi} / (s{lo} * s{hi}) END"
-            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST({e} AS DOUBLE) AS corr FROM agg")
-    return (f"(WITH agg AS (SELECT {', '.join(aggs)} FROM {view}) " + " UNION ALL ".join(parts) + ")")
+    """Long-form Pearson matrix (col_a, col_b, corr) as a subquery: DuckDB's
+    own ``corr`` over the rows where both are present."""
+    cell = lambda a, b: (f"CASE WHEN max({a}) > min({a}) AND max({b}) > min({b}) THEN "
+                         + ("1.0" if a == b else f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))") + " END")
+    return "(" + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST({cell(a, b)} AS DOUBLE) AS corr FROM {view} "
+        f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for a in cols for b in cols) + ")"
 
 
 def unpivot(view: str, cols: list[str], side: int | None = None) -> str:
