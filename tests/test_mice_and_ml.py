@@ -17,3 +17,15 @@ def test_classification_metrics_zero_division(spark):
     m = {r["cls"]: r for r in ut.classification_metrics(df).collect()}
     assert m["1"]["precision"] == 0.0 and m["1"]["f1"] == 0.0
     assert m["accuracy"]["f1"] == 0.75 and m["0"]["recall"] == 1.0
+
+
+def test_mice_linear_is_exact_on_large_offsets(spark):
+    import numpy as np
+    from cohortlens.operators.impute import mice
+    rng = np.random.default_rng(0)
+    for offset in (0.0, 1e6, 1e9):
+        x = rng.normal(size=400)
+        rows = [(offset + float(v), None if i % 5 == 0 else 3.0 * float(v) + 1.0, float(v)) for i, v in enumerate(x)]
+        got = mice(spark.createDataFrame(rows, "k double, y double, z double").select("k", "y", "z"), ["k", "y"], rounds=2)
+        err = max(abs(r.y - (3.0 * r.z + 1.0)) for r in got.collect())
+        assert err < 1e-6 * max(1.0, offset * 1e-3), (offset, err)

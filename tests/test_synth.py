@@ -3,6 +3,7 @@ strong dependence), ε = ∞ marginals equal the exact histogram, DCR sampling
 option, window-free label codes."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import encode as en
@@ -36,8 +37,24 @@ def test_dp_infinite_epsilon_is_exact(spark):
     h = m.histogram(real, ["x", "c"]).collect()
     assert all(r["noisy"] == r["n"] for r in h)
     assert abs(sum(r["p"] for r in h if r["feature"] == "x") - 1.0) < 1e-12
-    noisy = sy.DPMarginalSynthesizer(1.0, 8, {"x": (0.0, 100.0)}).histogram(real, ["x"]).collect()
-    assert any(r["noisy"] != r["n"] for r in noisy) and all(r["noisy"] >= 0 for r in noisy)
+    exact = {r["bin"]: r["n"] for r in h if r["feature"] == "x"}
+    noisy = sy.DPMarginalSynthesizer(1.0, 8, {"x": (0.0, 100.0)}).histogram(real, ["x"], seed="s3cret").collect()
+    assert any(r["noisy"] != exact[r["bin"]] for r in noisy) and all(r["noisy"] >= 0 for r in noisy)
+
+
+def test_dp_release_has_public_support_only(spark):
+    real = _real(spark)
+    rare = real.unionByName(spark.createDataFrame([(50.0, 1.0, "only one record")], real.schema))
+    m = sy.DPMarginalSynthesizer(1.0, 8, {"x": (0.0, 100.0)}, {"c": ["lo", "hi", "never"]})
+    a, b = (m.histogram(df, ["x", "c"], seed="s") for df in (real, rare))
+    assert a.columns == ["feature", "bin", "noisy", "p"]                  # no exact count is released
+    keys = lambda h: sorted((r["feature"], r["bin"]) for r in h.collect())
+    assert keys(a) == keys(b) and ("c", "never") in keys(a)
+    assert len({m.fit(real, ["x", "c"], seed=f"s{k}").size for k in range(4)}) > 1     # a noisy number of rows
+    with pytest.raises(ValueError):
+        m.histogram(real, ["x", "c"])                                     # no default seed
+    with pytest.raises(ValueError):
+        sy.DPMarginalSynthesizer(1.0, 8, {"x": (0.0, 100.0)}).fit(real, ["x", "c"], seed="s")
 
 
 def test_dcr_reference_sampling_option(spark):
@@ -45,7 +62,13 @@ def test_dcr_reference_sampling_option(spark):
     synth = _real(spark, 2500).withColumn("k", F.monotonically_increasing_id())
     full = pv.dcr(real, synth, ["x", "y"], "full").first()
     samp = pv.dcr(real, synth, ["x", "y"], "full", sample_size=500, real_key=["k"], synth_key=["k"]).first()
-    assert full["exact_match_count"] >= 0 and samp["avg_dcr"] > 0
+    x, y = (np.array(df.select("x", "y").collect(), float) for df in (real, synth))
+    mean, std = x.mean(0), x.std(0)
+    zx, zy = (x - mean) / std, (y - mean) / std
+    want = np.concatenate([np.sqrt(((zy[i:i + 500, None] - zx[None]) ** 2).sum(2)).min(1) for i in range(0, 2500, 500)])
+    assert full["exact_match_count"] == (want < 1e-6).sum()
+    assert abs(full["avg_dcr"] - want.mean()) < 1e-3
+    assert samp["avg_dcr"] >= want.mean()                                  # fewer records to be near to
 
 
 def test_label_codes_sorted_union(spark):
