@@ -44,7 +44,8 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
             both = x.isNotNull() & y.isNotNull()
             x, y = F.when(both, x), F.when(both, y)
             spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-            aggs.append(F.when(spread, F.lit(1.0) if a == b else F.corr(x, y)).alias(f"r{n}"))
+            aggs.append(F.when(spread, F.lit(1.0) if a == b else F.try_divide(
+                F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))).alias(f"r{n}"))
         rows = ", ".join(f"'{a}', '{b}', r{n}" for n, (a, b) in enumerate(some))
         rows += "".join(f", '{b}', '{a}', r{n}" for n, (a, b) in enumerate(some) if a != b)
         k = len(some) + sum(a != b for a, b in some)
