@@ -1,10 +1,8 @@
 """FHIR flattening (F1–F7): bundles → one row per patient.
 
-All sections come out of *one* ``groupBy(bundle_id)`` over the exploded
-entries: patient fields and vitals with ``max_by(value, (pos, component))``
-(last in file order wins — the reference keeps the last value seen, not the
-latest date) and active conditions with an ordered ``collect_list``. No
-join between sections.
+A bundle is one row, so patient fields, active conditions and vitals are
+array functions over its entries (last in file order wins — the reference
+keeps the last value seen, not the latest date): no explode, no shuffle.
 """
 
 from __future__ import annotations
@@ -35,6 +33,8 @@ VITAL_COLS = list(VITAL_MAP.values()) + list(BP_COMPONENT_MAP.values())
 AGE_ASOF = "2026-01-01"
 DEMOGRAPHICS = ["race", "ethnicity", "maritalStatus", "gender"]
 TOP_K = 20
+# Replacements that make a condition text a column name.
+NAME_REPLACEMENTS = [(" (finding)", ""), (" (disorder)", ""), (" ", "_"), (",", ""), ("(", ""), (")", "")]
 
 
 def _map_expr(m: dict, key: Column) -> Column:
@@ -60,56 +60,56 @@ def _ext_text(r: Column, tag: str) -> Column:
     return F.when(F.size(vals) > 0, F.element_at(vals, -1))
 
 
-def _facts(ent: DataFrame) -> DataFrame:
-    """Vitals as (bundle_id, col, num, txt, pos, cpos)."""
-    r = F.col("r")
-    obs = ent.where(r["resourceType"] == "Observation")
-    bp = (obs.where(r["code"]["text"] == BP_PANEL_TEXT)
-          .select("bundle_id", "pos", F.posexplode(F.coalesce(r["component"], F.array())).alias("cpos", "c"))
-          .select("bundle_id", "pos", "cpos",
-                  _map_expr(BP_COMPONENT_MAP, F.col("c.code.text")).alias("col"),
-                  F.col("c.valueQuantity.value").alias("num"), F.lit(None).cast("string").alias("txt"))
-          .where(F.col("col").isNotNull() & F.col("num").isNotNull()))
-    q = r["valueQuantity"]["value"]
-    s = F.nullif(r["valueString"], F.lit(""))
-    cc = F.nullif(r["valueCodeableConcept"]["text"], F.lit(""))
-    col = _map_expr(VITAL_MAP, r["code"]["text"])
-    txt_first = F.coalesce(q.cast("string"), s, cc)
-    num_first = F.coalesce(q, s.try_cast("double"), cc.try_cast("double"))
-    vit = (obs.where((r["code"]["text"] != BP_PANEL_TEXT) & col.isNotNull())
-           .select("bundle_id", "pos", F.lit(-1).alias("cpos"), col.alias("col"),
-                   F.when(~col.isin(*TEXT_VITALS), num_first).alias("num"),
-                   F.when(col.isin(*TEXT_VITALS), txt_first).alias("txt"))
-           .where(F.col("num").isNotNull() | F.col("txt").isNotNull()))
-    return bp.unionByName(vit)
+def _facts(resources: Column) -> Column:
+    """Vitals of a bundle in file order: array of (col, num, txt)."""
+    kind = "array<struct<col:string,num:double,txt:string>>"
+    none = F.array().cast(kind)
+
+    def fact(col: Column, num: Column, txt: Column) -> Column:
+        return F.struct(col.alias("col"), num.cast("double").alias("num"), txt.cast("string").alias("txt"))
+
+    def panel(r: Column) -> Column:
+        return F.transform(F.coalesce(r["component"], F.array()), lambda c: fact(
+            _map_expr(BP_COMPONENT_MAP, c["code"]["text"]), c["valueQuantity"]["value"], F.lit(None)))
+
+    def single(r: Column) -> Column:
+        q = r["valueQuantity"]["value"]
+        s = F.nullif(r["valueString"], F.lit(""))
+        cc = F.nullif(r["valueCodeableConcept"]["text"], F.lit(""))
+        col = _map_expr(VITAL_MAP, r["code"]["text"])
+        is_text = F.coalesce(col.isin(*TEXT_VITALS), F.lit(False))
+        return F.array(fact(col, F.when(~is_text, F.coalesce(q, s.try_cast("double"), cc.try_cast("double"))),
+                            F.when(is_text, F.coalesce(q.cast("string"), s, cc))))
+
+    found = F.transform(F.filter(resources, lambda r: r["resourceType"] == "Observation"), lambda r: F.coalesce(
+        F.when(r["code"]["text"] == BP_PANEL_TEXT, panel(r)).otherwise(single(r)), none))
+    return F.filter(F.flatten(found), lambda f: f["col"].isNotNull() & (f["num"].isNotNull() | f["txt"].isNotNull()))
 
 
 def flatten_raw(bundles: DataFrame) -> DataFrame:
     """One row per bundle: id, gender, birthDate, maritalStatus, race,
     ethnicity, conditions (active, file order, duplicates kept) and every
-    vital column (F1–F4)."""
-    ent = entries(bundles)
-    r = F.col("r")
-    is_pat = r["resourceType"] == "Patient"
-    ordp = F.when(is_pat, F.col("pos"))
-    marital = F.when(r["maritalStatus"].isNull(), F.lit("Unknown")).otherwise(r["maritalStatus"]["text"])
-    status = F.get(F.coalesce(r["clinicalStatus"]["coding"], F.array()), 0)["code"]
-    active = ((r["resourceType"] == "Condition") & (status == "active")
-              & F.coalesce(F.length(r["code"]["text"]) > 0, F.lit(False)))
-    base = ent.groupBy("bundle_id").agg(
-        F.max_by(r["id"], ordp).alias("id"), F.max_by(r["gender"], ordp).alias("gender"),
-        F.max_by(r["birthDate"], ordp).alias("birthDate"), F.max_by(marital, ordp).alias("maritalStatus"),
-        F.max_by(_ext_text(r, "us-core-race"), ordp).alias("race"),
-        F.max_by(_ext_text(r, "us-core-ethnicity"), ordp).alias("ethnicity"),
-        F.sort_array(F.collect_list(F.when(active, F.struct(F.col("pos"), r["code"]["text"].alias("t")))))
-        .alias("_c"))
-    base = base.withColumn("conditions", F.transform("_c", lambda x: x["t"])).drop("_c")
-    f = _facts(ent)
-    order = F.struct("pos", "cpos")
-    vit = f.groupBy("bundle_id").agg(*[
-        F.max_by(F.col("txt") if c in TEXT_VITALS else F.col("num"), F.when(F.col("col") == c, order)).alias(c)
-        for c in VITAL_COLS])
-    return base.join(vit, "bundle_id", "left")
+    vital column (F1–F4). A bundle is one row already, so everything is an
+    array function over its entries: no shuffle."""
+    base = bundles.select("bundle_id", F.filter(
+        F.transform(F.coalesce(F.col("bundle.entry"), F.array()), lambda e: e["resource"]), lambda r: r.isNotNull()).alias("_r"))
+    last = lambda a: F.try_element_at(a, F.lit(-1))
+
+    def active(r: Column) -> Column:
+        status = F.get(F.coalesce(r["clinicalStatus"]["coding"], F.array()), 0)["code"]
+        return F.coalesce((r["resourceType"] == "Condition") & (status == "active") & (F.length(r["code"]["text"]) > 0),
+                          F.lit(False))
+
+    base = base.select("bundle_id", last(F.filter("_r", lambda r: r["resourceType"] == "Patient")).alias("_p"),
+                       F.transform(F.filter("_r", active), lambda r: r["code"]["text"]).alias("conditions"),
+                       _facts(F.col("_r")).alias("_f"))
+    p = F.col("_p")
+    marital = F.when(p.isNotNull(), F.coalesce(p["maritalStatus"]["text"], F.lit("Unknown")))
+    vital = lambda c: last(F.filter("_f", lambda f: f["col"] == c))["txt" if c in TEXT_VITALS else "num"]
+    return base.select("bundle_id", p["id"].alias("id"), p["gender"].alias("gender"), p["birthDate"].alias("birthDate"),
+                       marital.alias("maritalStatus"), _ext_text(p, "us-core-race").alias("race"),
+                       _ext_text(p, "us-core-ethnicity").alias("ethnicity"), "conditions",
+                       *[vital(c).alias(c) for c in VITAL_COLS])
 
 
 def patient_age(birth: Column, asof: str = AGE_ASOF) -> Column:
@@ -121,7 +121,7 @@ def patient_age(birth: Column, asof: str = AGE_ASOF) -> Column:
 def safe_condition_name(c: Column) -> Column:
     """Condition text → column-safe name (same replacement chain as the
     reference)."""
-    for a, b in [(" (finding)", ""), (" (disorder)", ""), (" ", "_"), (",", ""), ("(", ""), (")", "")]:
+    for a, b in NAME_REPLACEMENTS:
         c = F.replace(c, F.lit(a), F.lit(b))
     return F.concat(F.lit("Cond_"), c)
 
@@ -139,7 +139,7 @@ def sanitize_name(name: str) -> str:
 
 def safe_name(name: str) -> str:
     """Python twin of ``safe_condition_name`` for the k collected names."""
-    for a, b in [(" (finding)", ""), (" (disorder)", ""), (" ", "_"), (",", ""), ("(", ""), (")", "")]:
+    for a, b in NAME_REPLACEMENTS:
         name = name.replace(a, b)
     return "Cond_" + name
 

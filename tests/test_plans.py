@@ -24,3 +24,14 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     cols = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     assert cols and all(len(c.split(",")) <= 3 for c in cols)   # lineitem has 11 columns
+
+
+def test_fhir_flatten_does_not_shuffle(spark):
+    from cohortlens.operators import fhir
+    from cohortlens.sources.fhir import bundles_from_json
+    docs = spark.createDataFrame([(1, '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Patient","id":"7"}}]}')],
+                                 "bundle_id long, doc string")
+    raw = fhir.flatten_raw(bundles_from_json(docs, "doc", "bundle_id"))
+    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    row = raw.first()
+    assert row["id"] == "7" and row["maritalStatus"] == "Unknown" and row["conditions"] == [] and row["bmi"] is None
