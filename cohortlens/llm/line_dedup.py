@@ -203,7 +203,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
         F.col("id").alias("_cl_id"), F.col("digest").alias("_cl_digest"), F.col("drop").alias("_cl_drop"))
     lines = F.split(F.col(column), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_cl_drop", i)), "\n")
-    return (docs.join(drop, (F.col(id_col) == F.col("_cl_id")) & (F.xxhash64(column) == F.col("_cl_digest")), "left")
+    # the texts are dealt out by key at every size; only the lines to delete are held
+    return (docs.join(drop.hint("shuffle_hash"), (F.col(id_col) == F.col("_cl_id")) & (F.xxhash64(column) == F.col("_cl_digest")), "left")
             .withColumn("n_lines", F.when(F.col(column).isNull(), 0).otherwise(F.size(lines)))
             .withColumn("n_deleted", F.coalesce(F.size("_cl_drop"), F.lit(0)))
             .withColumn(column, F.when(F.col("_cl_drop").isNull(), F.col(column)).otherwise(kept))

@@ -25,7 +25,7 @@ from cohortlens.llm.tables import stored, table
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` whose doc_id is not in ``ids`` (doc_id)."""
-    return docs.join(ids.distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(ids.distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
