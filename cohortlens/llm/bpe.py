@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.tables import stored
+from cohortlens.llm.tables import share, stored
 from cohortlens.llm.words import buffer_of, pieces, text_slices
 
 LEXICON_WORDS = 50_000
@@ -320,8 +319,9 @@ class Lexicon:
         self.edges = HashIndex(self.slots, self.place)
 
     @staticmethod
-    def build(words: list[bytes], bpe: ByteBPE, path: str) -> None:
-        """Compile ``words`` (any order, repeats allowed, no special tokens) into ``path``."""
+    def build(words: list[bytes], bpe: ByteBPE) -> np.ndarray:
+        """Compile ``words`` (any order, repeats and special tokens allowed; the
+        latter are left out) into the content of a lexicon file."""
         words = sorted(set(words) - set(bpe.special))
         register: dict[tuple, int] = {}
         states: list[tuple] = []  # (final, ((byte, target), ...)) of closed states
@@ -368,7 +368,7 @@ class Lexicon:
             ends[name[s]] = final
         ids, ids_at = bpe.merge(words) if words else (np.empty(0, np.int64), np.zeros(1, np.int64))
         parts = [edges.slots, edges.place, np.array(target, np.int64), np.array(skip, np.int64), ends, ids, ids_at]
-        np.concatenate([np.array([len(p) for p in parts], np.int64), *parts]).tofile(path)
+        return np.concatenate([np.array([len(p) for p in parts], np.int64), *parts])
 
     def lookup(self, words: pa.Array) -> np.ndarray:
         """Number of each word in the lexicon, -1 where it has none."""
@@ -445,10 +445,7 @@ def build_lexicon(docs: DataFrame, vocab: str, size: int = LEXICON_WORDS, column
         least = r.step
     frequent = counts.where(F.col("step") >= least).select("word").collect() if least is not None else []
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    from tempfile import mkdtemp  # read by the driver alone, which ships it
-    path = os.path.join(mkdtemp(prefix="cohortlens-lexicon-"), name)
-    Lexicon.build([bytes(r.word) for r in frequent], bpe_of(vocab), path)
-    spark.sparkContext.addFile(path)
+    share(spark, name, Lexicon.build([bytes(r.word) for r in frequent], bpe_of(vocab)).tobytes())
     return name
 
 

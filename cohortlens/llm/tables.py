@@ -25,9 +25,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def same_schema(schema, *names: str):
-    """The input's schema reduced to ``names`` (order kept as given)."""
-    return [schema[n] for n in names]
+def share(spark: SparkSession, name: str, content: bytes) -> None:
+    """Write a file to the shared folder and let every node fetch it
+    (``SparkFiles.get(name)`` in tasks)."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/{name}")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path)
+    out.write(bytearray(content))
+    out.close()
+    sc.addFile(fs.makeQualified(path).toString())
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

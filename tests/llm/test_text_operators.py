@@ -64,14 +64,14 @@ def test_encode_equals_library(tokenizer):
 def test_lexicon_is_minimal_and_exact(tmp_path):
     vocab = bpe.ByteBPE(VOCAB)
     words = [w.encode() for w in ["the", "then", " the", "bathe", "lathe", "breathe", "é", "x", "lathes", "bathes"]]
-    bpe.Lexicon.build(words + words, vocab, str(tmp_path / "x"))
+    bpe.Lexicon.build([*words, *words, b"<|endoftext|>"], vocab).tofile(tmp_path / "x")
     lex = bpe.Lexicon(str(tmp_path / "x"))
     got = lex.lookup(pa.array([*sorted(words), b"th", b"bathing", b"", b"<|endoftext|>"], pa.large_binary())).tolist()
     assert got == [*range(len(words)), -1, -1, -1, -1]
     assert len(lex.final) < sum(map(len, words))                       # suffixes are shared
     for i, w in enumerate(sorted(words)):
         assert lex.ids[lex.ids_at[i]:lex.ids_at[i + 1]].tolist() == vocab.merge([w])[0].tolist()
-    bpe.Lexicon.build([], vocab, str(tmp_path / "y"))
+    bpe.Lexicon.build([], vocab).tofile(tmp_path / "y")
     assert bpe.Lexicon(str(tmp_path / "y")).lookup(pa.array([b"a", b""], pa.large_binary())).tolist() == [-1, -1]
 
 
@@ -253,8 +253,9 @@ def test_kneser_ney(spark, monkeypatch):
     seen = next(iter(cont))
     assert abs(sum(p(seen, w) for w in cont) + p(seen, "<new>") - 1) < 1e-9
     model = kn_quality.train(cases.documents(spark, texts[:60]))
-    for size in (64 << 20, 4096):                                                    # one shard, many shards
+    for size, words in ((64 << 20, 10 ** 6), (4096, 10 ** 6), (4096, 0)):              # one shard, many; words in tasks or shards
         monkeypatch.setattr(kn_quality, "SHARD_BYTES", size)
+        monkeypatch.setattr(kn_quality, "LOCAL_WORDS", words)
         got = {r.id: r.perplexity for r in kn_quality.perplexity(cases.documents(spark, texts), model).collect()}
         for (i, _), x in zip(texts, want):
             assert got[i] == pytest.approx(x, rel=1e-6)
