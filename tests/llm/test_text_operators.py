@@ -261,6 +261,18 @@ def test_kneser_ney(spark, monkeypatch):
             assert got[i] == pytest.approx(x, rel=1e-6)
 
 
+@pytest.mark.parametrize("words", [10 ** 6, 0])
+def test_more_than_256_shards(spark, monkeypatch, words):
+    texts = sample_texts(120)
+    want, _, _ = brute_perplexity([t for _, t in texts[:60]], [t for _, t in texts])
+    model = kn_quality.train(cases.documents(spark, texts[:60]))
+    monkeypatch.setattr(kn_quality, "SHARD_BYTES", sum(len(t.encode()) for _, t in texts) / 300)     # 512 shards
+    monkeypatch.setattr(kn_quality, "LOCAL_WORDS", words)
+    got = {r.id: r.perplexity for r in kn_quality.perplexity(cases.documents(spark, texts).coalesce(1), model).collect()}
+    for (i, _), x in zip(texts, want):
+        assert got[i] == pytest.approx(x, rel=1e-6)
+
+
 def test_request_round_trip():
     code = np.sort(np.random.default_rng(1).integers(0, 1 << 56, 5000).astype(np.uint64))
     key, per_key, doc, count = kn_quality.decode_request(kn_quality.encode_request(code, np.arange(5000)))
