@@ -3,9 +3,10 @@
 A text is cut into sentences (after . ! ? ; : and white space); sentences are
 normalised (lower case, everything but letters and digits to single blanks,
 "licence" to "license"), so comment marks, quotes and line breaks inside a
-sentence do not matter. A sentence that holds a known licence sentence gets
-its identifier (the first in the list below that it holds), others none. The
-identifiers of a document, in order, are then matched against the licence
+sentence do not matter. A sentence gets the identifiers of all known
+licence sentences it holds, in order of position (where two overlap, that of the
+one listed first below), others none: GNU notices join the grant and the version
+by a comma. The identifiers of a document, in order, are then matched against the licence
 rules, also in order: a rule is a sequence of identifiers, its matches are
 consumed, and later rules see the rest. So a full MIT text is one licence and
 not three hints, and a header that names the licence counts by itself.
@@ -127,12 +128,15 @@ def _mark(name: str) -> str:
     return f",{name},"
 
 
-def sentence_id(sentence: Column) -> Column:
-    """Identifier of a normalised sentence (blank at both ends), NULL if none."""
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
+def sentence_ids(plain: Column) -> Column:
+    """Identifiers of the normalised sentences of a text (cut by \\x01), in order
+    of position; those a sentence repeats once. What a known sentence covers
+    is not matched again by a later one."""
+    text = F.concat(F.lit(" "), F.replace(plain, F.lit("\x01"), F.lit(" \x01 ")), F.lit(" "))
     for name, known in SENTENCES:
-        out = out.when(F.contains(sentence, F.lit(f" {known} ")), F.lit(name))
-    return out
+        text = F.replace(text, F.lit(f" {known} "), F.lit(f" \x02{name} "))
+    return F.flatten(F.transform(F.split(text, "\x01"), lambda s: F.array_distinct(
+        F.transform(F.filter(F.split(s, " "), lambda x: x.startswith("\x02")), lambda x: F.substring(x, 2, 200)))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", column: str = "text") -> DataFrame:
@@ -140,9 +144,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", column: str = "text") -> DataF
     text = F.coalesce(F.col(column), F.lit(""))
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(
         text, r"([.!?;:])[\x20\x09-\x0D]+", "$1\u0001")), "[^a-z0-9\u0001]+", " "), "licence", "license")
-    ids = F.filter(F.transform(F.split(plain, "\u0001"), lambda s: sentence_id(F.concat(F.lit(" "), s, F.lit(" ")))),
-                   lambda x: x.isNotNull())
-    ids = F.when(text.rlike(_CUE), ids).otherwise(F.array().cast("array<string>"))
+    ids = F.when(text.rlike(_CUE), sentence_ids(plain)).otherwise(F.array().cast("array<string>"))
     # one generated row each: a border that keeps the scan from being evaluated for every use of its result
     found = docs.select(F.col(id_col).alias("_id"), F.explode(F.array(ids)).alias("ids"))
     marks = F.array_join(F.transform("ids", lambda x: F.concat(F.lit(","), x, F.lit(","))), "")

@@ -352,3 +352,25 @@ def test_license_scan(spark):
     names = {n for n, _ in license_scan.SENTENCES}
     assert all(set(s) <= names for _, s in license_scan.RULES)
     assert license_scan.scan(cases.documents(spark, rows).limit(0)).count() == 0
+
+
+def test_gnu_notices(spark):
+    notice = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU %sGeneral Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU %sGeneral Public License for more details.
+
+    You should have received a copy of the GNU %sGeneral Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+    kinds = [("GPL", ""), ("AGPL", "Affero "), ("LGPL", "Lesser ")]
+    rows = [(i, notice % (word, word, word)) for i, (_, word) in enumerate(kinds)]
+    rows += [(3, "Licensed under the Apache License, Version 2.0 (the \"License\"), released under the MIT License")]
+    got = {r.doc_id: (r.sentence_ids, r.licenses, r.unmatched) for r in license_scan.scan(cases.documents(spark, rows)).collect()}
+    for i, (name, _) in enumerate(kinds):
+        assert got[i] == (f"{name.capitalize()}Grant,GnuVersion3,GnuWarranty,GnuCopy", f"{name}-3.0-or-later", "")
+    assert got[3] == ("Apache2Grant,MitShort", "Apache-2.0,MIT", "")
