@@ -155,6 +155,19 @@ def test_templates_and_extract(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    page = ("<body><div class=strip><a href=/{u}>Top</a> <a href=/x>All posts</a></div>"
+            "<div id=post-{k}><p>Article {k} begins.</p><p>And ends {k}.</p></div></body>")
+    copies = [(k, f"http://c.example/{k}", page.format(u=k, k=7)) for k in range(6)]       # links differ, the page does not
+    others = [(10 + k, f"http://c.example/p{k}", page.format(u=0, k=20 + k)) for k in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract(
+        spark.createDataFrame(copies + others, "page_id long, url string, html string")).collect()}
+    assert len(got) == 12
+    for k in range(6):
+        assert got[k] == "Article 7 begins. And ends 7."
+        assert got[10 + k] == f"Article {20 + k} begins. And ends {20 + k}."         # what all pages share is left out
+
+
 # -- pipeline ----------------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
