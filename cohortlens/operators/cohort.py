@@ -33,6 +33,7 @@ COMBO = ["Sex", "Diabetes_Target", "Has_Hypertension", "Has_Hypothyroidism"]
 NOISE_SCALE = 0.05          # fixed value: noise std multiplier of the generator
 POOL_NOISE_SCALE = 0.02     # fixed value: multiplier of the pool variant
 POOL_MULTIPLIERS = [10, 25, 50]
+POOL_COVERS = 5             # draws per row of the table before nobody is said to match
 
 
 # ------------------------------------------------------------- P10 filter
@@ -295,11 +296,13 @@ def generate_until(df: DataFrame, n: int, constraints: dict, seed: int, key: lis
     """Quota filling (G8): pools of n×10, n×25, n×50 rows, then doubled, are
     drawn from the whole table with small noise and filtered by the request;
     the first n distinct rows in draw order are returned. Ends early only if
-    ``patience`` pools in a row bring no row at all (nobody matches)."""
+    ``patience`` pools in a row bring no new row and together have drawn
+    ``POOL_COVERS`` times the table's rows (nobody else matches)."""
     from cohortlens.operators.privacy import materialize
     values = df.columns
-    collected, attempt, barren = None, 0, 0
-    while barren < patience:
+    rows = df.count()
+    collected, attempt, barren, drawn = None, 0, 0, 0      # drawn: rows of the barren pools
+    while barren < patience or drawn < POOL_COVERS * rows:
         attempt += 1
         mult = multipliers[attempt - 1] if attempt <= len(multipliers) else multipliers[-1] * 2 ** (attempt - len(multipliers))
         pool, _ = generate_perturbed(df, n * mult, {}, seed + attempt, key, scale=POOL_NOISE_SCALE, exclude=key)
@@ -310,5 +313,5 @@ def generate_until(df: DataFrame, n: int, constraints: dict, seed: int, key: lis
         have = collected.count()
         if have >= n:
             break
-        barren = 0 if have > before else barren + 1
+        barren, drawn = (0, 0) if have > before else (barren + 1, drawn + n * mult)
     return collected.orderBy("_turn").limit(n).drop("_turn")

@@ -42,6 +42,13 @@ def test_quota_is_filled_in_draw_order(spark):
     assert co.generate_until(patients, 5, {"age_min": 400}, 42, ["patient_id"]).count() == 0
 
 
+def test_quota_of_a_rare_match(spark):
+    df = spark.range(4000).select(F.col("id").alias("patient_id"), (F.rand(1) * 100).alias("x"), (F.col("id") == 1234).cast("int")
+                                  .alias("male"))
+    got = co.generate_until(df, 2, {"gender": 1}, 42, ["patient_id"])
+    assert [r.patient_id for r in got.collect()] == [1234, 1234] and got.dropDuplicates().count() == 2
+
+
 def test_correlation_pairs_are_complete(spark):
     import numpy as np
     import pandas as pd
