@@ -29,3 +29,18 @@ def test_mice_linear_is_exact_on_large_offsets(spark):
         got = mice(spark.createDataFrame(rows, "k double, y double, z double").select("k", "y", "z"), ["k", "y"], rounds=2)
         err = max(abs(r.y - (3.0 * r.z + 1.0)) for r in got.collect())
         assert err < 1e-6 * max(1.0, offset * 1e-3), (offset, err)
+
+
+def test_forests_use_all_columns_and_trees(spark, monkeypatch):
+    import inspect
+
+    from cohortlens.operators import utility
+    from cohortlens.plans import fixtures, q_ml
+
+    assert inspect.signature(utility.rf_model).parameters["trees"].default == 100
+    used = []
+    monkeypatch.setattr(utility, "tstr", lambda real, synth, target, features, *a, **k: used.append(features))
+    monkeypatch.setattr(utility, "fairness_gain", lambda real, synth, target, features, *a, **k: used.append(features))
+    q_ml.q_tstr(spark, "/root/testdata/sf0.001")
+    q_ml.q_fairness_gain(spark, "/root/testdata/sf0.001")
+    assert [set(f) for f in used] == [set(fixtures.LI_FEATURES) - {q_ml.TARGET}] * 2
