@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import (bpe, cover_tree, html_extract, kn_quality, license_scan, line_dedup, minhash_dedup, packing,
-                             secret_scan, source_audit, topk_search, vector_codes)
+from cohortlens.llm import (bpe, cover_tree, html_extract, kn_quality, license_scan, line_dedup, minhash_dedup,
+                             neighbour_graph, packing, secret_scan, source_audit, topk_search, vector_codes)
 from cohortlens.llm.tables import table
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -155,6 +155,11 @@ def op11(spark, sf_dir):
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+@register("op12_nn_descent")
+def op12(spark, sf_dir):
+    return neighbour_graph.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 @register("op13_source_divergence", r"""
 WITH d AS (
   SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

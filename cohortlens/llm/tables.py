@@ -70,6 +70,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return members.unionByName(roots.select("id", F.col("id").alias("component")))
 
 
+def hot_join(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key``, unique in ``small``, that may be common in
+    ``big``: keys above a 256th of big's rows (so fewer than 256 of them) are
+    joined by broadcast, all others, none of them large, by a shuffle."""
+    counts = big.groupBy(key).count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = stored(counts.where(F.col("count") * 256 > total).select(key), "hot")
+    some = big.join(F.broadcast(small.join(F.broadcast(hot), key, "left_semi")), key)
+    return some.unionByName(big.join(F.broadcast(hot), key, "left_anti").join(small, key))
+
+
 def finite(vector: str | Column) -> Column:
     """True where an array column is non-null and all its components are
     present and finite."""
