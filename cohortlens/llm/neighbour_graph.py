@@ -43,14 +43,14 @@ from cohortlens.llm.tables import finite, hot_join, stored
 
 DEGREE = 32              # partners of a point in the graph
 SAMPLE = 10              # new (and old) edges of a point in a local join, each way
-ROUNDS = 6
-QUIET = 0.01             # rounds end when a round changed fewer than this share of all edges
+ROUNDS = 4
+QUIET = 0.02             # rounds end when a round changed fewer than this share of all edges
 TREES = 4
-LEAF = 2048              # points of a leaf that are compared in full, about
+LEAF = 4096              # points of a leaf that are compared in full, about
 MOST_LEAVES = 2048
 TREE_SAMPLE = 16_384     # points that set the trees' thresholds
-BEAM = 192
-STEP = 48                # points a query expands per hop
+BEAM = 160
+STEP = 64                # points a query expands per hop
 BLOCK = 4096             # vectors of a block
 PIVOTS = 256             # local joins computed at once
 
@@ -296,9 +296,11 @@ def build_graph(points: DataFrame, dims: int, degree: int = DEGREE, rounds: int
         edge = lists.select("u", F.inline(F.arrays_zip("v", "st"))).where("st <> 1")
         both = (edge.select(F.col("u").alias("pivot"), F.col("v").alias("member"), "st")
                 .unionByName(edge.select(F.col("v").alias("pivot"), F.col("u").alias("member"), "st")))
-        some = Window.partitionBy("pivot", "st").orderBy(F.xxhash64("member", "pivot", F.lit(turn)), "member")
-        members = (both.withColumn("place", F.row_number().over(some)).where(F.col("place") <= 2 * SAMPLE)
-                   .join(lists.select(F.col("u").alias("member"), "code", "worst"), "member")
+        some = Window.partitionBy("pivot").orderBy(F.desc("st"), F.xxhash64("member", "pivot", F.lit(turn)), "member")
+        # the limit is applied before the shuffle too, so a point in very many lists stays a small pivot;
+        # rows come out by pivot, fresh edges first
+        members = (both.join(lists.select(F.col("u").alias("member"), "code", "worst"), "member")
+                   .withColumn("place", F.row_number().over(some)).where(F.col("place") <= 4 * SAMPLE)
                    .select("pivot", "member", (F.col("st") == 2).alias("fresh"), "worst", "code"))
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +308,7 @@ def build_graph(points: DataFrame, dims: int, degree: int = DEGREE, rounds: int
                 pivot, member, fresh, worst = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
                 yield _rows_of(*local_joins(pivot, member, fresh, worst, _matrix(b.column(4), "<f2", dims + 1), degree))
 
-        better = members.repartition("pivot").sortWithinPartitions("pivot", "member").mapInArrow(join, _NEW)
+        better = members.mapInArrow(join, _NEW)
         used = lists.select("u", "code", "v", "s", F.transform("st", lambda x: F.when(x == 2, F.lit(0)).otherwise(x).cast("byte")).alias("st"))
         lists = stored(_merge(used.unionByName(better), degree, SAMPLE, False), "lists")
         if (lists.agg(F.sum("changed")).first()[0] or 0) < QUIET * n * degree:
@@ -400,8 +402,11 @@ def greedy(points: DataFrame, lists: DataFrame, queries: DataFrame, dims: int, b
     home = F.transform("near", lambda x: F.pmod(F.xxhash64(x), F.lit(n_blocks)))
     while state.where(F.exists("st", lambda x: x == 2)).limit(1).count():
         front = state.select("u", F.explode(F.transform(F.filter(F.arrays_zip("v", "st"), lambda x: x["st"] == 2), lambda x: x["v"])).alias("node"))
-        reached = (front.join(near, "node").groupBy("u").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-                   .join(state.select("u", "code", "worst", "v"), "u")
+        none = {c: F.lit(None).cast(t).alias(c) for c, t in (("code", "binary"), ("worst", "double"), ("v", "array<long>"), ("near", "array<long>"))}
+        reached = (front.join(near, "node").select("u", "near", none["code"], none["worst"], none["v"])
+                   .unionByName(state.select("u", none["near"], "code", "worst", "v"))
+                   .groupBy("u").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
+                                     *[F.first(c, ignorenulls=True).alias(c) for c in ("code", "worst", "v")])
                    .select("u", "code", "worst", F.array_except("near", "v").alias("near"))
                    .select("u", "code", "worst", "near", home.alias("home")))
         asked = reached.mapInArrow(ask, "block long, u long, code binary, worst double, v array<long>, ids binary")
