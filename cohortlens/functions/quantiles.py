@@ -1,112 +1,82 @@
-"""Exact quantiles without a single-task value map.
+"""Exact quantiles by weighted selection over distinct values.
 
 Spark's exact ``percentile`` keeps a value → count map per group, which for a
 global quantile over a near-unique column ends in one task holding every
-distinct value. ``exact_quantiles`` brackets the order statistics instead:
+distinct value. ``exact_quantiles`` selects order statistics instead:
 
-1. one aggregate: number of values, minimum and maximum per column;
-2. per round, a quantile sketch of the values still in the range of a wanted
-   rank gives edges that are values of the column, and one counting pass tells
-   how many values lie on each edge and between neighbouring edges. A rank on
-   an edge is found; else its range shrinks to the gap between two edges, a
-   fixed fraction of the values whatever their spread, so infinities and
-   outliers cost nothing and a round divides the values left by about
-   ``buckets``;
-3. ranges that hold at most ``max_collect`` values are fetched and read off.
+1. all columns are unpivoted and reduced to distinct (column, value) rows with
+   their counts (combined before the shuffle, so repeated values cost nothing);
+2. those rows are range-partitioned by (column, value), which puts every value
+   after all smaller ones, and written once;
+3. the sums of counts per (partition, column), a few numbers per partition,
+   tell which partition holds a wanted rank and how many values lie before it;
+4. only those partitions are read again: a running sum inside them names the
+   value at each rank. What comes back is one row per wanted rank.
 
-All targets of all columns share a round's two jobs. NULL and NaN are no
-values. Linear interpolation between neighbouring ranks matches numpy / DuckDB
-``quantile_cont``.
+No value list is fetched and no task holds more than a range of distinct
+values. NULL and NaN are no values; infinities are.
+Linear interpolation between neighbouring ranks matches numpy / DuckDB
+``quantile_cont``. The same pass yields the number of distinct values.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 512,
-                    max_collect: int = 20_000) -> dict[str, list[float | None]]:
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(ci, x, n): distinct values of each column (by its place) as double."""
+    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    u = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (ci, x)").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return u.groupBy("ci", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 20_000,
+                    max_collect: int = 200_000, min_distinct: int = 0) -> dict[str, list[float | None]]:
     """{col: [quantile for each p in probs]} (None for a column without
-    values). Fetches O(columns × probs × buckets) numbers plus at most
-    ``max_collect`` values per open range."""
+    values). Ranges hold about ``max_collect`` distinct values, or more where
+    that would take over ``buckets`` ranges. Columns with at most
+    ``min_distinct`` distinct values are left out of the result."""
     if not cols:
         return {}
-    u = df.selectExpr(
-        f"stack({len(cols)}, " + ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-        + ") AS (ci, x)").where(F.col("x").isNotNull() & ~F.isnan("x"))
-    st = {r["ci"]: r for r in u.groupBy("ci").agg(F.count("*").alias("n"), F.min("x").alias("a"),
-                                                  F.max("x").alias("b")).collect()}
+    from cohortlens.operators.privacy import materialize, reuse
+    counts = reuse(value_counts(df, cols))
+    per = {r["ci"]: r for r in counts.groupBy("ci").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")).collect()}
+    wanted = [i for i in range(len(cols)) if min_distinct == 0 or (i in per and per[i]["d"] > min_distinct)]
+    ranks = {i: sorted({r for p in probs for r in (math.floor(p * (per[i]["n"] - 1)), math.ceil(p * (per[i]["n"] - 1)))})
+             for i in wanted if i in per}
     found: dict[tuple[int, int], float] = {}
-    # open ranges: (column, low, high) exclusive -> (values below, values inside, ranks wanted)
-    open_: dict[tuple, tuple] = {}
-    for ci in st:
-        n, a, b = st[ci]["n"], st[ci]["a"], st[ci]["b"]
-        ranks = {r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
-        found |= {(ci, r): v for r, v in ((0, a), (n - 1, b)) if r in ranks}
-        ranks -= {0, n - 1}
-        if ranks and a == b:
-            found |= {(ci, r): a for r in ranks}
-        elif ranks:
-            open_[ci, None, None] = (0, n, ranks)
-
-    def inside(keys):
-        """Rows (t, x) of the values in the given ranges, t the range's place."""
-        conds = []
-        for ci, lo, hi in keys:
-            c = F.col("ci") == ci
-            c = c & (F.col("x") > F.lit(lo)) if lo is not None else c
-            conds.append(c & (F.col("x") < F.lit(hi)) if hi is not None else c)
-        places = F.array(*[F.when(c, F.lit(t)) for t, c in enumerate(conds)])
-        return u.select("x", F.explode(F.filter(places, lambda t: t.isNotNull())).alias("t"))
-
-    while large := [k for k, v in open_.items() if v[1] > max_collect]:
-        rows = inside(large)
-        grid = F.array(*[F.lit((i + 0.5) / buckets) for i in range(buckets)])
-        edges = {r["t"]: sorted(set(r["e"])) for r in rows.groupBy("t").agg(
-            F.percentile_approx("x", grid, 20 * buckets).alias("e")).collect()}
-        table = F.array(*[F.array(*[F.lit(float(e)) for e in edges[t]]) for t in range(len(large))])
-        own = F.element_at(table, F.col("t") + 1)
-        width = max(map(len, edges.values()))
-        below, upto = sorted_count(own, F.col("x"), True, width), sorted_count(own, F.col("x"), False, width)
-        counts: dict[int, dict[int, int]] = {}
-        # place 2k: between edges k-1 and k; place 2k + 1: on edge k
-        for r in rows.groupBy("t", (below + upto).alias("k")).agg(F.count("*").alias("n")).collect():
-            counts.setdefault(r["t"], {})[r["k"]] = r["n"]
-        for t, key in enumerate(large):
-            ci, lo, hi = key
-            before, _, ranks = open_.pop(key)
-            e = edges[t]
-            for k in sorted(counts.get(t, {})):
-                n = counts[t][k]
-                mine = {r for r in ranks if before <= r < before + n}
-                if mine and k % 2:
-                    found |= {(ci, r): e[k // 2] for r in mine}
-                elif mine:
-                    i = k // 2
-                    open_[ci, e[i - 1] if i else lo, e[i] if i < len(e) else hi] = (before, n, mine)
-                before += n
-    if open_:
-        keys = list(open_)
-        values: dict[int, list[float]] = {}
-        for r in inside(keys).collect():
-            values.setdefault(r["t"], []).append(r["x"])
-        for t, key in enumerate(keys):
-            before, _, ranks = open_[key]
-            v = sorted(values[t])
-            found |= {(key[0], r): v[r - before] for r in ranks}
-    out = {}
-    for ci, c in enumerate(cols):
-        out[c] = []
+    if ranks:
+        blocks = min(buckets, max(1, -(-sum(per[i]["d"] for i in ranks) // max_collect)))
+        some = counts.where(F.col("ci").isin(*ranks)) if len(ranks) < len(per) else counts
+        placed = materialize(some.repartitionByRange(blocks, "ci", "x").withColumn("block", F.spark_partition_id()))
+        sums = placed.groupBy("ci", "block").agg(F.sum("n").alias("n")).orderBy("ci", "block").collect()
+        before: dict[int, int] = {}
+        targets = []                       # (ci, block, rank inside the block, rank)
+        for r in sums:
+            start = before.get(r["ci"], 0)
+            targets += [(r["ci"], r["block"], k - start, k) for k in ranks[r["ci"]] if start <= k < start + r["n"]]
+            before[r["ci"]] = start + r["n"]
+        spark = df.sparkSession
+        at = F.broadcast(spark.createDataFrame(targets, "ci int, block int, inner long, rank long"))   # one row a rank
+        upto = Window.partitionBy("ci", "block").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+        hit = placed.join(at.select("ci", "block").distinct(), ["ci", "block"], "left_semi").withColumn("upto", F.sum("n").over(upto))
+        hit = hit.join(at, ["ci", "block"]).where((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("n")))
+        found = {(r["ci"], r["rank"]): r["x"] for r in hit.select("ci", "rank", "x").collect()}
+    counts.unpersist()
+    out: dict[str, list[float | None]] = {}
+    for i in wanted:
+        out[cols[i]] = []
         for p in probs:
-            if ci not in st:
-                out[c].append(None)
+            if i not in per:
+                out[cols[i]].append(None)
                 continue
-            pos = p * (st[ci]["n"] - 1)
-            a, b = found[ci, math.floor(pos)], found[ci, math.ceil(pos)]
-            out[c].append(a if a == b or pos == math.floor(pos) else a + (b - a) * (pos - math.floor(pos)))
+            pos = p * (per[i]["n"] - 1)
+            a, b = found[i, math.floor(pos)], found[i, math.ceil(pos)]
+            out[cols[i]].append(a if a == b or pos == math.floor(pos) else a + (b - a) * (pos - math.floor(pos)))
     return out
 
 

@@ -2,9 +2,10 @@
 histograms and box statistics (A10), moments (A13), density overlap (D5).
 
 Scale notes
-* Correlations: one aggregate pass with k(k−1)/2 ``covar_samp`` + k
-  ``stddev_samp`` accumulators (map-side partial aggregation; one row
-  shuffled per task).
+* Correlations: one pass for counts, extremes and means, one for the sums of
+  products of centred values (k(k+1)/2 accumulators, one row shuffled per
+  task). Pairs with a column that has NULLs keep their own moments, over the
+  rows where both are present.
 * KS: the two tables are unpivoted and reduced to distinct (column, value)
   counts first; the empirical CDFs come from a *two-level* prefix sum — value
   blocks by approximate quantiles, block totals with a tiny window, then a
@@ -34,22 +35,37 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     constant there → NULL (pandas NaN). Wide tables are aggregated a block of
     pairs at a time, so no plan holds more than WIDE_PAIRS of them."""
     cols = list(cols)
+    cast = [F.col(c).cast("double") for c in cols]
+    st = df.agg(F.count(F.lit(1)).alias("n"), *[f(x).alias(f"{p}{i}") for i, x in enumerate(cast)
+                                                for f, p in ((F.count, "n"), (F.min, "a"), (F.max, "b"), (F.avg, "m"))]).first()
+    whole = {c: st[f"n{i}"] == st["n"] for i, c in enumerate(cols)}       # no NULL: every pair covers all rows
+    flat = {c: st[f"a{i}"] is None or st[f"a{i}"] == st[f"b{i}"] for i, c in enumerate(cols)}
+    mean = {c: st[f"m{i}"] or 0.0 for i, c in enumerate(cols)}
+
+    def cell(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        if whole[a] and whole[b]:
+            if flat[a] or flat[b]:
+                return F.lit(None).cast("double")
+            if a == b:
+                return F.lit(1.0)
+            # sums of products of centred values; the squares are shared by all pairs of a column
+            x, y = x - F.lit(mean[a]), y - F.lit(mean[b])
+            return F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y)))
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+        return F.when(spread, F.lit(1.0) if a == b else F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
+
     pairs = _pair_list(cols)
     out = None
     for at in range(0, len(pairs), WIDE_PAIRS):
         some = pairs[at:at + WIDE_PAIRS]
-        aggs = []
-        for n, (a, b) in enumerate(some):
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            x, y = F.when(both, x), F.when(both, y)
-            spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-            aggs.append(F.when(spread, F.lit(1.0) if a == b else F.try_divide(
-                F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))).alias(f"r{n}"))
+        aggs = [cell(a, b).alias(f"r{n}") for n, (a, b) in enumerate(some)]
         rows = ", ".join(f"'{a}', '{b}', r{n}" for n, (a, b) in enumerate(some))
         rows += "".join(f", '{b}', '{a}', r{n}" for n, (a, b) in enumerate(some) if a != b)
         k = len(some) + sum(a != b for a, b in some)
-        part = df.agg(*aggs).selectExpr(f"stack({k}, {rows}) AS (col_a, col_b, corr)")
+        part = df.agg(F.count(F.lit(1)).alias("_n"), *aggs).selectExpr(f"stack({k}, {rows}) AS (col_a, col_b, corr)")
         out = part if out is None else out.unionByName(part)
     return out
 

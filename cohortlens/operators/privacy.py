@@ -402,9 +402,8 @@ def qi_bins(df: DataFrame, qis: list[str], profile: str = "core") -> list[Column
     if profile == "core":
         from cohortlens.operators.clean import numeric_cols
         num = [q for q in qis if q in numeric_cols(df)]
-        nd = df.agg(*[F.count_distinct(F.col(q)).alias(q) for q in num]).first() if num else {}
-        binned = [q for q in num if nd[q] > 20]
-        qs = exact_quantiles(df, binned, [i / 10 for i in range(11)]) if binned else {}
+        qs = exact_quantiles(df, num, [i / 10 for i in range(11)], min_distinct=20)    # counts distinct values too
+        binned = list(qs)
         for q in qis:
             if q in binned:
                 edges = sorted(set(round(e, 6) for e in qs[q]))
