@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,6 +82,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     return out
 
 
+def rank_in(grid: list[float], x: Column, strict: bool = True) -> Column:
+    """Number of elements of the sorted list ``grid`` that are < x (``strict``)
+    or ≤ x, for whole Arrow batches; NULL stays NULL."""
+    cuts = np.array(grid, float)
+
+    @F.pandas_udf("int")
+    def place(v: pd.Series) -> pd.Series:
+        at = np.searchsorted(cuts, v.to_numpy(dtype=float, na_value=np.nan), side="left" if strict else "right")
+        return pd.Series(at.astype(np.int32)).astype("Int32").mask(v.isna().to_numpy())
+    return place(x.cast("double"))
+
+
 def sorted_count(grid, x, strict: bool = True, max_len: int = 1 << 20):
     """Number of elements of the sorted array column ``grid`` that are < x
     (``strict``) or ≤ x, by binary search in a lambda (O(log n) per row)."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions.expr import r6
-from cohortlens.functions.quantiles import exact_quantiles, sorted_count
+from cohortlens.functions.quantiles import exact_quantiles, rank_in
 from cohortlens.operators.clean import categorical_cols, numeric_cols
 
 PARAM_SCHEMA = ("col string, kind string, min double, max double, median double, "
@@ -183,15 +183,11 @@ class QuantileNormalEncoder:
     def fit(cls, df: DataFrame, n_quantiles: int = 1000) -> "QuantileNormalEncoder":
         num, cat = numeric_cols(df), categorical_cols(df)
         probs = [i / (n_quantiles - 1) for i in range(n_quantiles)]
-        # grid by approximate quantiles (one aggregate; the reference's
-        # transformer also works from a subsample)
-        g = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in num]).first() \
-            if num else {}
-        grids = {c: list(g[c]) for c in num}
-        med = exact_quantiles(df, num, [0.5]) if num else {}
+        got = exact_quantiles(df, num, [*probs, 0.5])       # grid and median in one selection
+        grids = {c: got[c][:-1] for c in num}
         a = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cat]).first() \
             if cat else {}
-        return cls(grids, {c: list(a[c]) for c in cat}, {c: med[c][0] for c in num})
+        return cls(grids, {c: list(a[c]) for c in cat}, {c: got[c][-1] for c in num})
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Staged projections: binary-search positions first, then the
@@ -204,10 +200,8 @@ class QuantileNormalEncoder:
         s1 = df.select("*", *[x for i, c in enumerate(num) for x in (
             F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])).alias(f"_x{i}"),)])
         s1 = s1.select("*", *[x for i, c in enumerate(num) for x in (
-            sorted_count(const_array(self.grids[c], "double"), F.col(f"_x{i}"), False, len(self.grids[c]))
-            .alias(f"_le{i}"),
-            sorted_count(const_array(self.grids[c], "double"), F.col(f"_x{i}"), True, len(self.grids[c]))
-            .alias(f"_lt{i}"))])
+            rank_in(self.grids[c], F.col(f"_x{i}"), strict=False).alias(f"_le{i}"),
+            rank_in(self.grids[c], F.col(f"_x{i}")).alias(f"_lt{i}"))])
 
         def frac(i, pos_col, c):
             g = self.grids[c]

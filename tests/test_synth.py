@@ -78,3 +78,26 @@ def test_label_codes_sorted_union(spark):
     assert codes == {"a": 0, "b": 1, "c": 2, "nan": 3}
     ra, rb = en.label_encode(a, b, ["s"])
     assert sorted(r[0] for r in ra.collect()) == [0, 1, 3]
+
+
+def test_copula_with_many_classes_as_tables(spark, monkeypatch):
+    """Class domains beyond the inline limit: same shares, every class drawable, dependence kept."""
+    monkeypatch.setattr(sy, "INLINE_CLASSES", 10)
+    monkeypatch.setattr(sy, "RANGE_ROWS", 7)
+    df = spark.range(4000).select((F.col("id") % 50).cast("double").alias("x"),
+                                  F.when(F.col("id") % 3 == 0, "k00").otherwise(F.format_string("k%02d", F.col("id") % 50)).alias("c"))
+    ranges = sy.class_ranges(df, "c").orderBy("lo").collect()
+    assert ranges[0]["lo"] == 0.0 and ranges[-1]["hi"] == 1.0 and len(ranges) == 50
+    assert all(a["hi"] == b["lo"] and a["v"] < b["v"] for a, b in zip(ranges, ranges[1:]))
+    model = sy.CopulaSynthesizer.fit(df)
+    assert "c" in model.tables and not model.classes
+    s = model.sample(spark, 4000, seed=3)
+    assert s.count() == 4000 and s.columns == ["row_id", "x", "c"]
+    share = s.where("c = 'k00'").count() / 4000
+    assert abs(share - (ranges[0]["hi"] - ranges[0]["lo"])) < 0.03
+    assert s.select("c").distinct().count() >= 45
+
+
+def test_vector_probit_and_phi():
+    p = np.array([1e-6, 0.01, 0.3, 0.5, 0.9, 0.99, 1 - 1e-6])
+    assert np.allclose(sy._phi(sy._probit(p)), p, atol=1e-9)
