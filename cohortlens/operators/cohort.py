@@ -1,22 +1,7 @@
 """Cohort selection and perturbed generation.
 
-``match_cohorts`` answers a *table* of requests against a patient table
-without a theta join:
-
-* the four low-cardinality attributes (Sex, Diabetes_Target,
-  Has_Hypertension, Has_Hypothyroidism) form a combo key; each request is
-  expanded to the ≤ 24 combos it accepts and equi-joined on it;
-* patient ids are cut into B id-blocks (approximate quantile edges); a
-  count table (combo, block) → {age: count} lets every request find, with
-  ≤ 24·B small rows, the first block b* where its n-th match falls;
-* only patients of the accepted combos in blocks ≤ b* are joined back
-  (blocks < b* hold fewer than n matches, block b* holds ≤ N/B rows), then
-  ``row_number`` per request keeps the n smallest ids.
-
-Only (request, combo, block) triples that hold a match meet patients, so a
-request that matches nobody joins nothing; a broad one reads at most n plus one
-block (512 patients, or N/1024 above 524,288). A hot combo (a third of all
-rows) is split by block.
+``match_cohorts`` (a table of requests against a patient table) lives in
+``operators.matching``.
 """
 
 from __future__ import annotations
@@ -27,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import br, hash_normal, hash_uniform, r6
+from cohortlens.operators.matching import match_cohorts  # noqa: F401
 from cohortlens.operators.requests import CONDITION_COLUMNS
 
-COMBO = ["Sex", "Diabetes_Target", "Has_Hypertension", "Has_Hypothyroidism"]
 NOISE_SCALE = 0.05          # fixed value: noise std multiplier of the generator
 POOL_NOISE_SCALE = 0.02     # fixed value: multiplier of the pool variant
 POOL_MULTIPLIERS = [10, 25, 50]
@@ -78,111 +63,6 @@ def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-# ----------------------------------------------------------- J6 match table
-def _domain(df: DataFrame, cols: list[str], limit: int = 1000) -> dict[str, list]:
-    r = df.agg(*[F.collect_set(F.col(c)).alias(c) for c in cols],
-               *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in cols]).first()
-    out = {}
-    for c in cols:
-        vals = sorted(r[c])
-        if len(vals) > limit:
-            raise ValueError(f"{c}: {len(vals)} distinct values, not a low-cardinality attribute")
-        out[c] = vals + ([None] if r[f"n_{c}"] else [])
-    return out
-
-
-def _accepted(dom: list, keep) -> Column:
-    """Array of accepted values: ``keep(v)`` over the attribute's domain."""
-    arr = F.array(*[F.lit(v) for v in dom]) if dom else F.array().cast("array<int>")
-    return F.filter(arr, keep)
-
-
-def match_cohorts(requests: DataFrame, patients: DataFrame, id_col: str = "patient_id",
-                  age_col: str = "Age", block_rows: int = 512, with_counts: bool = False) -> DataFrame:
-    """For every normalised request (request_id, num_patients, gender,
-    age_min, age_max, conditions, severity_target): the ``num_patients``
-    matching patients with the smallest ids → (request_id, patient_id,
-    rank). With ``with_counts``: (request_id, requested, matched,
-    delivered) instead."""
-    dom = _domain(patients, COMBO)
-    n_pat = patients.count()
-    nblk = max(1, min(1024, math.ceil(n_pat / block_rows)))
-    if nblk > 1:
-        edges = patients.agg(F.percentile_approx(F.col(id_col), [i / nblk for i in range(1, nblk)], 10000)
-                             .alias("e")).first()["e"]
-        blk = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(id_col)))
-    else:
-        blk = F.lit(0)
-    from cohortlens.operators.privacy import reuse
-    p = reuse(patients.select(id_col, age_col, *COMBO, blk.alias("blk")))
-    # count table: (combo, block) → cumulative counts over the integer age
-    # domain [a0, a1] plus the NULL-age count; size bounded by domain × blocks
-    arange = patients.agg(F.min(age_col).alias("a0"), F.max(age_col).alias("a1")).first()
-    a0, a1 = int(arange["a0"] or 0), int(arange["a1"] or 0)
-    width = a1 - a0 + 1
-    by_age = p.groupBy(*COMBO, "blk", age_col).agg(F.count(F.lit(1)).alias("n"))
-    cnt = by_age.groupBy(*COMBO, "blk").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col(age_col).isNotNull(),
-                                                 F.struct((F.col(age_col) - a0).cast("int"), F.col("n"))))).alias("m"),
-        F.sum(F.when(F.col(age_col).isNull(), F.col("n")).otherwise(0)).alias("n_null"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0)).cast("bigint"))
-    cum = F.aggregate(dense, F.array().cast("array<bigint>"),
-                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)),
-                                                                      F.lit(0).cast("bigint")) + x)))
-    cnt = cnt.select(*COMBO, "blk", cum.alias("cum"), "n_null")
-    r = requests
-    has = lambda name: F.array_contains(F.col("conditions"), name)
-    sev = F.col("severity_target")
-    combos = r.select(
-        "request_id", F.col("num_patients").alias("n_req"), "age_min", "age_max",
-        F.explode(_accepted(dom["Sex"], lambda v: F.col("gender").isNull() | (v == F.col("gender")))).alias("Sex"),
-    ).join(r.select("request_id", "conditions", "severity_target"), "request_id")
-    combos = (combos
-              .withColumn("Diabetes_Target", F.explode(_accepted(
-                  dom["Diabetes_Target"],
-                  lambda v: F.coalesce((~has("diabetes") | (v >= 1)) & (sev.isNull() | (v == sev)), F.lit(False)))))
-              .withColumn("Has_Hypertension", F.explode(_accepted(
-                  dom["Has_Hypertension"], lambda v: F.coalesce(~has("hypertension") | (v == 1), F.lit(False)))))
-              .withColumn("Has_Hypothyroidism", F.explode(_accepted(
-                  dom["Has_Hypothyroidism"], lambda v: F.coalesce(~has("hypothyroidism") | (v == 1), F.lit(False)))))
-              .drop("conditions", "severity_target"))
-    on = [combos[c].eqNullSafe(cnt[c]) for c in COMBO]
-    amin, amax = F.col("age_min"), F.col("age_max")
-    lo_i = F.greatest(F.coalesce(amin, F.lit(a0)) - a0, F.lit(0))            # 0-based, inclusive
-    hi_i = F.least(F.coalesce(amax, F.lit(a1)) - a0, F.lit(width - 1))
-    upto = lambda i: F.when(i < 0, F.lit(0)).otherwise(F.element_at(F.col("cum"), i + 1))
-    in_age = F.when(hi_i < lo_i, F.lit(0)).otherwise(upto(hi_i) - upto(lo_i - 1))
-    # (request, combo, block) that hold a match: what the patients are joined with later
-    hits = reuse(combos.join(cnt, on).select(
-        "request_id", "n_req", "age_min", "age_max", "blk", *[combos[c] for c in COMBO],
-        (in_age + F.when(amin.isNull() & amax.isNull(), F.col("n_null")).otherwise(0)).alias("m")).where("m > 0"))
-    per = hits.groupBy("request_id", "n_req", "blk").agg(F.sum("m").alias("m"))
-    w = Window.partitionBy("request_id").orderBy("blk").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumn("cum", F.sum("m").over(w))
-    stop = per.groupBy("request_id", "n_req").agg(
-        F.coalesce(F.min(F.when(F.col("cum") >= F.col("n_req"), F.col("blk"))), F.max("blk")).alias("bstar"),
-        F.max("cum").alias("matched"))
-    if with_counts:
-        allr = r.select("request_id", F.col("num_patients").alias("requested"))
-        return allr.join(stop.select("request_id", "matched"), "request_id", "left").select(
-            "request_id", "requested", F.coalesce("matched", F.lit(0)).cast("bigint").alias("matched"),
-            F.least(F.col("requested").cast("bigint"), F.coalesce("matched", F.lit(0)).cast("bigint"))
-            .alias("delivered"))
-    want = hits.join(stop.select("request_id", "bstar"), "request_id").where(F.col("blk") <= F.col("bstar"))
-    ww, pp = want.alias("ww"), p.alias("pp")
-    on2 = [F.col(f"ww.{c}").eqNullSafe(F.col(f"pp.{c}")) for c in COMBO] + [F.col("ww.blk") == F.col("pp.blk")]
-    a = F.col(f"pp.{age_col}")
-    cand = ww.join(pp, on2).where(
-        (F.col("ww.age_min").isNull() | (a >= F.col("ww.age_min")))
-        & (F.col("ww.age_max").isNull() | (a <= F.col("ww.age_max")))).select(
-        F.col("ww.request_id").alias("request_id"), F.col("ww.n_req").alias("n_req"), F.col(f"pp.{id_col}").alias(id_col))
-    wr = Window.partitionBy("request_id").orderBy(id_col)
-    return (cand.select("request_id", "n_req", id_col)
-            .withColumn("rank", F.row_number().over(wr))
-            .where(F.col("rank") <= F.col("n_req")).select("request_id", id_col, "rank"))
-
-
 # -------------------------------------------------------- A11 cohort summary
 def cohort_summary(df: DataFrame, n_total: Column | int, n_matched: Column | int,
                    where: Column | None = None) -> DataFrame:

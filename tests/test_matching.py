@@ -72,3 +72,30 @@ def test_wide_correlation_in_blocks(spark, monkeypatch):
     whole = {(r.col_a, r.col_b): round(r["corr"], 9) for r in fi.correlation(df, list("abcd")).collect()}
     monkeypatch.setattr(fi, "WIDE_PAIRS", 1000)
     assert whole == {(r.col_a, r.col_b): round(r["corr"], 9) for r in fi.correlation(df, list("abcd")).collect()}
+
+
+def test_matching_on_other_schemas(spark, monkeypatch):
+    """Gender as Sex / male / gender, fractional ages, text ids, absent columns, many parts and blocks."""
+    from cohortlens.operators import matching
+    monkeypatch.setattr(matching, "PART_ROWS", 100)
+    monkeypatch.setattr(matching, "SIGNATURES", 3)
+    base = spark.range(5000).select(
+        F.format_string("p%05d", F.col("id")).alias("pid"), F.when(F.col("id") % 11 != 0, F.col("id") * 0.37 % 90).alias("age"),
+        (F.col("id") % 2).cast("int").alias("male"), (F.col("id") % 3).cast("int").alias("Diabetes_Target"),
+        F.when(F.col("id") % 13 == 0, 1).otherwise(0).alias("Has_Hypertension"))
+    asks = [(1, 7, 1, 20, 60, ["diabetes"], None), (2, 4000, None, None, None, [], None), (3, 30, 0, 30, None, ["hypertension"], None),
+            (4, 5, 1, 20, 60, ["diabetes"], None), (5, 9, 0, None, 12, ["asthma", "hypothyroidism"], 2), (6, 3, 1, 500, None, [], None)]
+    reqs = spark.createDataFrame(asks, SCHEMA)
+    text = base.withColumn("gender", F.when(F.col("male") == 1, F.when(F.col("pid") > "p02", "Male").otherwise("M")).otherwise("f")).drop("male")
+    none = base.drop("male", "age", "Diabetes_Target")
+    sex = base.withColumnRenamed("male", "Sex").withColumnRenamed("age", "Age")
+    for patients in (base, text, none, sex):
+        got = {}
+        for r in co.match_cohorts(reqs, patients, id_col="pid", block_rows=4).orderBy("request_id", "rank").collect():
+            got.setdefault(r.request_id, []).append(r.pid)
+        counts = {r.request_id: r for r in co.match_cohorts(reqs, patients, id_col="pid", block_rows=64, with_counts=True).collect()}
+        for i, n, g, lo, hi, conds, sev in asks:
+            want = [x.pid for x in co.cohort_filter(patients, {"gender": g, "age_min": lo, "age_max": hi, "conditions": conds,
+                                                               "severity_target": sev}).select("pid").orderBy("pid").collect()]
+            assert got.get(i, []) == want[:n]
+            assert (counts[i].requested, counts[i].matched, counts[i].delivered) == (n, len(want), min(n, len(want)))
