@@ -14,11 +14,19 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import br, kolmogorov_sf, r6
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # ------------------------------------------------------------- A7 correlation
 def _pair_list(cols, diagonal=True):
@@ -153,12 +161,55 @@ def ks_pvalue(d: Column, n_real: Column, n_synth: Column) -> Column:
     return kolmogorov_sf(F.sqrt(en) * d)
 
 
+# ---------------------------------------------------- M2 exact small samples
+EXACT_ROWS = 10_000      # largest n, m for the exact law, as the reference's test does
+
+
+def ks_exact_pvalue(d: float, n: int, m: int) -> float:
+    """P(D >= d) of the two-sided two-sample statistic under the null, by the
+    lattice-path recursion: among the paths from (0, 0) to (n, m), all equally
+    likely, the share that meets |i/n - j/m| >= d somewhere. Path counts are kept
+    as probabilities of having stayed inside, one diagonal at a time, so nothing
+    overflows; a diagonal holds at most min(n, m) + 1 numbers."""
+    if n > m:
+        n, m = m, n
+    if n == 0 or d <= 0:
+        return 1.0
+    lcm = n // math.gcd(n, m) * m
+    step, limit = (lcm // n, lcm // m), math.ceil(d * lcm - 1e-9)     # steps of i and j; the strip ends at limit
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0
+    i = np.arange(n + 1)
+    for k in range(1, n + m + 1):
+        j = k - i
+        # a path of n + m steps is at (i, j) after k of them; its last step came from (i - 1, j) or (i, j - 1)
+        from_left = np.concatenate(([0.0], inside[:-1])) * (n - (i - 1)) / (n + m - k + 1)
+        from_below = inside * (m - (j - 1)) / (n + m - k + 1)
+        inside = from_left + from_below
+        inside[(j < 0) | (j > m) | (np.abs(i * step[0] - j * step[1]) >= limit)] = 0.0
+    return float(min(max(1.0 - inside[n], 0.0), 1.0))
+
+
+def ks_pvalues(stats: DataFrame, col: str = "_p", exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """``stats`` (ks_statistic, n_real, n_synth) with the p-value: exact where
+    both samples have at most ``exact_rows`` rows, the asymptotic series beyond.
+    One recursion per column, each in the task that holds its row."""
+    limit = exact_rows
+
+    @F.pandas_udf("double")
+    def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([ks_exact_pvalue(x, int(a), int(b)) if max(a, b) <= limit else None for x, a, b in zip(d, n, m)], dtype="float64")
+
+    return stats.withColumn(col, F.coalesce(F.nanvl(exact("ks_statistic", "n_real", "n_synth"), F.lit(None).cast("double")),
+                                            ks_pvalue(F.col("ks_statistic"), F.col("n_real"), F.col("n_synth"))))
+
+
 def ks_columns(real: DataFrame, synth: DataFrame, cols: list[str], pvalue: bool = True) -> DataFrame:
     """Per column KS statistic and p-value, both rounded to 4 dp (core
     report's per-column section)."""
     k = ks_statistics(real, synth, cols)
     if pvalue:  # p from the unrounded statistic (computed before the rounding projection)
-        k = k.withColumn("_p", ks_pvalue(F.col("ks_statistic"), F.col("n_real"), F.col("n_synth")))
+        k = ks_pvalues(k)
     return k.select("feature", br(F.col("ks_statistic"), 4).alias("ks_statistic"),
                     *([br(F.col("_p"), 4).alias("p_value")] if pvalue else []))
 

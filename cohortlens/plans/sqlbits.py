@@ -73,3 +73,22 @@ def kolmogorov_sf(z: str) -> str:
 def ks_pvalue(d: str, nr: str, ns: str) -> str:
     en = f"(CAST({nr} AS DOUBLE) * CAST({ns} AS DOUBLE) / CAST({nr} + {ns} AS DOUBLE))"
     return kolmogorov_sf(f"sqrt({en}) * {d}")
+
+
+def ks_pvalues(src: str, exact_rows: int = 10_000) -> str:
+    """(feature, ks_statistic, n_real, n_synth, p) subquery of ``src``: the exact
+    law by the lattice-path recursion, one diagonal an iteration, where both
+    samples are small, the series beyond."""
+    return f"""(WITH RECURSIVE kst AS (SELECT * FROM {src} s0),
+  sized AS (SELECT feature, ks_statistic AS d, least(n_real, n_synth) AS n, greatest(n_real, n_synth) AS m FROM kst),
+  path(feature, n, m, a, b, lim, k, w) USING KEY (feature) AS (
+    SELECT feature, n, m, lcm(n, m) // n, lcm(n, m) // m, CAST(ceil(d * lcm(n, m) - 1e-9) AS BIGINT), CAST(0 AS BIGINT),
+           list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
+    FROM sized WHERE m <= {exact_rows} AND n > 0 AND d > 0
+    UNION
+    SELECT feature, n, m, a, b, lim, k + 1, list_transform(range(0, n + 1), lambda i:
+             CASE WHEN k + 1 - i < 0 OR k + 1 - i > m OR abs(i * a - (k + 1 - i) * b) >= lim THEN CAST(0 AS DOUBLE)
+                  ELSE (CASE WHEN i > 0 THEN w[i] * (n - i + 1) ELSE 0 END + w[i + 1] * (m - (k - i))) / (n + m - k) END)
+    FROM path WHERE k < n + m)
+  SELECT kst.*, coalesce((SELECT greatest(0.0, least(1.0, 1.0 - w[n + 1])) FROM path WHERE path.feature = kst.feature),
+                         {ks_pvalue('kst.ks_statistic', 'kst.n_real', 'kst.n_synth')}) AS p FROM kst)"""
