@@ -23,6 +23,8 @@ are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +59,7 @@ SENTENCES = [
     ("AgplGrant", "under the terms of the gnu affero general public license as published by the free software foundation"),
     ("GplGrant", "under the terms of the gnu general public license as published by the free software foundation"),
     ("GnuVersion3", "either version 3 of the license or at your option any later version"),
+    ("GnuVersion21", "either version 2 1 of the license or at your option any later version"),
     ("GnuVersion2", "either version 2 of the license or at your option any later version"),
     ("GnuWarranty", "without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("GnuCopy", "you should have received a copy of the gnu"),
@@ -72,12 +75,28 @@ SENTENCES = [
     ("CcByLong", "licensed under a creative commons attribution 4 0 international license"),
     ("Unlicense", "this is free and unencumbered software released into the public domain"),
     ("PublicDomain", "released into the public domain"),
-    ("AllRights", "copyright all rights reserved"),
-    ("AllRights", "all rights reserved under copyright"),
+    ("Cc0Dedication", "dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    ("Cc0Short", "licensed under cc0 1 0"),
+    ("ZlibWarranty", "this software is provided as is without any express or implied warranty"),
+    ("ZlibGrant", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+                  "it and redistribute it freely"),
+    ("Epl2Grant", "made available under the terms of the eclipse public license 2 0"),
+    ("Epl2Grant", "made available under the terms of the eclipse public license v2 0"),
+    ("AllRights", "all rights reserved"),
 ]
 
+# Licence names of SPDX identifier lines, longer ones before their beginnings.
+SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0", "CC-BY-4.0", "EPL-2.0", "MPL-2.0",
+        "AGPL-3.0-or-later", "AGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-3.0-only", "LGPL-2.1-or-later", "LGPL-2.1-only",
+        "GPL-3.0-or-later", "GPL-3.0-only", "GPL-2.0-or-later", "GPL-2.0-only", "Artistic-2.0", "BSL-1.0"]
+SENTENCES += [(f"Spdx{''.join(c for c in n if c.isalnum())}", f"spdx license identifier {re.sub('[^a-z0-9]+', ' ', n.lower())}") for n in SPDX]
+
 # Licence rules, tried in this order.
 RULES = [
+    ("BSD-3-Clause", ["AllRights", "BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse", "BsdWarranty"]),
+    ("BSD-3-Clause", ["AllRights", "BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
+    ("BSD-2-Clause", ["AllRights", "BsdGrant", "BsdSource", "BsdBinary", "BsdWarranty"]),
+    ("BSD-2-Clause", ["AllRights", "BsdGrant", "BsdSource", "BsdBinary"]),
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse", "BsdWarranty"]),
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
     ("BSD-2-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdWarranty"]),
@@ -91,6 +110,8 @@ RULES = [
     ("AGPL-3.0-or-later", ["AgplGrant", "GnuVersion3"]),
     ("LGPL-3.0-or-later", ["LgplGrant", "GnuVersion3", "GnuWarranty", "GnuCopy"]),
     ("LGPL-3.0-or-later", ["LgplGrant", "GnuVersion3"]),
+    ("LGPL-2.1-or-later", ["LgplGrant", "GnuVersion21", "GnuWarranty", "GnuCopy"]),
+    ("LGPL-2.1-or-later", ["LgplGrant", "GnuVersion21"]),
     ("GPL-3.0-or-later", ["GplGrant", "GnuVersion3", "GnuWarranty", "GnuCopy"]),
     ("GPL-3.0-or-later", ["GplGrant", "GnuVersion3"]),
     ("GPL-2.0-or-later", ["GplGrant", "GnuVersion2", "GnuWarranty", "GnuCopy"]),
@@ -116,11 +137,19 @@ RULES = [
     ("CC-BY-4.0", ["CcByLong"]),
     ("Unlicense", ["Unlicense"]),
     ("Public-Domain", ["PublicDomain"]),
+    ("CC0-1.0", ["Cc0Dedication"]),
+    ("CC0-1.0", ["Cc0Short"]),
+    ("Zlib", ["ZlibWarranty", "ZlibGrant"]),
+    ("Zlib", ["ZlibGrant"]),
+    ("EPL-2.0", ["Epl2Grant"]),
+    *[(n, [f"Spdx{''.join(c for c in n if c.isalnum())}"]) for n in SPDX],
     ("Proprietary", ["AllRights"]),
 ]
 
 #: Every known sentence holds one of these words.
-CUES = ["licen", "permission", "redistribut", "warrant", "copyright", "endorse", "domain", "gnu"]
+CUES = ["licen", "permission", "redistribut", "warrant", "copyright", "endorse", "domain", "gnu", "reserved", "cc0"]
+#: The colon of an SPDX line ends no sentence.
+_SPDX_LINE = r"(?i)(SPDX-License-Identifier):[\x20\x09]*"
 _CUE = "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in CUES)
 
 
@@ -143,7 +172,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", column: str = "text") -> DataF
     """id_col, sentence_ids, licenses, unmatched (comma-joined), n_sentences."""
     text = F.coalesce(F.col(column), F.lit(""))
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(
-        text, r"([.!?;:])[\x20\x09-\x0D]+", "$1\u0001")), "[^a-z0-9\u0001]+", " "), "licence", "license")
+        F.regexp_replace(text, _SPDX_LINE, "$1 "), r"([.!?;:])[\x20\x09-\x0D]+", "$1\u0001")), "[^a-z0-9\u0001]+", " "), "licence", "license")
     ids = F.when(text.rlike(_CUE), sentence_ids(plain)).otherwise(F.array().cast("array<string>"))
     # one generated row each: a border that keeps the scan from being evaluated for every use of its result
     found = docs.select(F.col(id_col).alias("_id"), F.explode(F.array(ids)).alias("ids"))
@@ -161,16 +190,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", column: str = "text") -> DataF
 
 def duckdb_sql(source: str = "documents") -> str:
     """The same scan as DuckDB SQL."""
-    case = " ".join(f"WHEN contains(s, ' {known} ') THEN '{name}'" for name, known in SENTENCES)
+    marked = "' ' || replace(t, chr(1), ' ' || chr(1) || ' ') || ' '"
+    for name, known in SENTENCES:
+        marked = f"replace({marked}, ' {known} ', ' ' || chr(2) || '{name} ')"
     marks = "array_to_string(list_transform(ids, lambda x: ',' || x || ','), '')"
     for name, sequence in RULES:
         marks = f"replace({marks}, '{''.join(map(_mark, sequence))}', '{_mark('=' + name)}')"
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {source}),
-p AS (SELECT doc_id, replace(regexp_replace(lower(regexp_replace(t, '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(1), 'g')),
-        '[^a-z0-9\x01]+', ' ', 'g'), 'licence', 'license') AS t, regexp_matches(t, '{_CUE}') AS cue FROM d),
-i AS (SELECT doc_id, CASE WHEN cue THEN list_filter(list_transform(list_transform(string_split(t, chr(1)),
-        lambda s: ' ' || s || ' '), lambda s: CASE {case} END), lambda x: x IS NOT NULL) ELSE [] END AS ids FROM p),
+p AS (SELECT doc_id, replace(regexp_replace(lower(regexp_replace(regexp_replace(t, '{_SPDX_LINE}', '\1 ', 'g'),
+        '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(1), 'g')), '[^a-z0-9\x01]+', ' ', 'g'), 'licence', 'license') AS t,
+        regexp_matches(t, '{_CUE}') AS cue FROM d),
+m AS (SELECT doc_id, CASE WHEN cue THEN list_transform(string_split({marked}, chr(1)), lambda s: list_transform(
+        list_filter(string_split(s, ' '), lambda x: starts_with(x, chr(2))), lambda x: x[2:])) ELSE [] END AS found FROM p),
+i AS (SELECT doc_id, flatten(list_transform(found, lambda f: list_filter(f, lambda x, k: list_position(f, x) = k))) AS ids FROM m),
 l AS (SELECT doc_id, ids, list_filter(string_split({marks}, ','), lambda x: x <> '') AS rest FROM i)
 SELECT doc_id, array_to_string(ids, ',') AS sentence_ids,
   array_to_string(list_sort(list_distinct(list_transform(list_filter(rest, lambda x: x[1] = '='), lambda x: x[2:]))), ',') AS licenses,
