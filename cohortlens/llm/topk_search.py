@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -39,19 +40,29 @@ def one_per_id(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
             .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(vector).alias("vector")))
 
 
-def _grid(rows: list, scale: float) -> np.ndarray:
-    """Rows as a float matrix of floor(scale * x), padded with zeros."""
+def _rows(rows: list) -> np.ndarray:
+    """Rows as a float matrix, padded with zeros."""
     out = np.zeros((len(rows), max(map(len, rows), default=0)))
     for i, r in enumerate(rows):
         out[i, :len(r)] = r
-    return np.floor(scale * out)
+    return out
 
 
-def _blocks(vectors: DataFrame, n_blocks: int, scale: float) -> DataFrame:
-    """(block, ids, dims, grid): vertical blocks of floor(scale * x)."""
+def on_grid(x: np.ndarray, scale: float) -> np.ndarray:
+    """floor(scale * x); whole numbers of any size where that leaves the doubles."""
+    with np.errstate(over="ignore"):
+        grid = np.floor(scale * x)
+    if np.isfinite(grid).all():
+        return grid
+    exact = [int(g) if math.isfinite(g) else math.floor(Fraction(v) * Fraction(scale)) for g, v in zip(grid.ravel().tolist(), x.ravel().tolist())]
+    return np.array(exact, object).reshape(x.shape)
+
+
+def _blocks(vectors: DataFrame, n_blocks: int) -> DataFrame:
+    """(block, ids, dims, grid): vertical blocks of components."""
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
-        grid = _grid(frame["vector"].tolist(), scale)
+        grid = _rows(frame["vector"].tolist())
         return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "ids": [frame["id"].to_numpy("<i8").tobytes()],
                              "dims": [grid.shape[1]], "grid": [np.ascontiguousarray(grid.T).tobytes()]})
 
@@ -65,7 +76,7 @@ def branch_and_bound(q: np.ndarray, c: np.ndarray, k: int, floor: np.ndarray,
     k best of some query (rows of ``q``): (positions, scores). ``floor`` holds
     a score that k candidates of each query are known to reach."""
     dims = len(c)
-    if dims and np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * dims >= 2 ** 53:
+    if q.dtype == object or c.dtype == object or dims and np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * dims >= 2 ** 53:
         exact = np.array([[int(x) for x in r] for r in q], object) @ np.array([[int(x) for x in r] for r in c], object)
         return np.arange(c.shape[1]), exact
     order = np.argsort(-np.abs(c).sum(1), kind="stable")   # heavy dimensions first
@@ -98,8 +109,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     n = base.count()
     queries = base.where(is_query)
     n_cand, n_query = math.ceil(n / CANDIDATE_BLOCK) or 1, math.ceil(queries.count() / QUERY_BLOCK) or 1
-    cand = _blocks(base, n_cand, scale)
-    asked = (_blocks(queries, n_query, scale)
+    cand = _blocks(base, n_cand)
+    asked = (_blocks(queries, n_query)
              .select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"),
                      F.col("grid").alias("q_grid"), F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))).alias("b")))
 
@@ -112,6 +123,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
                 q, c = np.zeros((len(q_ids), dims)), np.zeros((dims, len(ids)))
                 q[:, :r.q_dims] = np.frombuffer(r.q_grid).reshape(r.q_dims, len(q_ids)).T
                 c[:r.dims] = np.frombuffer(r.grid).reshape(r.dims, len(ids))
+                q, c = on_grid(q, scale), on_grid(c, scale)
                 # one more than k, as the query itself may be among the candidates
                 floor = reached.setdefault(r.q_block, np.full(len(q_ids), -np.inf))
                 pos, score = branch_and_bound(q, c, k + 1, floor)
