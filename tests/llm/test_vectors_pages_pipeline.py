@@ -1,5 +1,6 @@
 import math
 import os
+import random
 import sys
 from collections import Counter
 
@@ -138,6 +139,65 @@ def test_main_text():
     assert html_extract.main_text("<main><p>a</main><article><p>b</article><p>c") == "a b"
 
 
+def test_names_around_and_inside_an_article():
+    text = html_extract.main_text
+    article = "<article><h1>T</h1><p>One</p></article>"
+    for name in ("layout has-sidebar", "no-sidebar", "header-fixed", "sidebar", "page-header", "comments"):
+        assert text(f'<body><div class="{name}">{article}</div><div class=ad>no</div></body>') == "T One"
+    assert text('<div class="no-sidebar"><main><p>a</main></div>') == "a"
+    assert text('<article><p>a<section class="legal"><p>b</section><section id="related-work"><p>c</section></article>') == "a b c"
+    assert text("<article><figure><figcaption>f</figcaption></figure><p>x<math><mi>y</mi></math></article>") == "f xy"
+    assert text("<div><select><option>o</div><p>rest") == "rest"
+    assert text('<article><p>a<p class="advert">no<p>b<div class="comments">no</div></article>') == "a b"
+    assert text('<article><p>a</article><div class="user-feedback"><article>no</article></div>') == "a"
+    assert text('<p>long enough</p><div class="comments"><article>no</article></div>') == "long enough"
+    assert text('<div class="cookie-bar">no</div><div class="site-footer">no</div><div class="main-content">yes</div>') == "yes"
+    assert text("<p>a <span class=ad>no</span>b</p>") == "a b"
+
+
+def brute_template(pages, support):
+    """Classes by whole occurrence vectors; the slot by walking the skeleton's tags."""
+    contents = {tuple(sorted(html_extract.tokens(p).items())) for p in pages}
+    contents = [dict(c) for c in contents]
+    vector = {k: tuple(c.get(k, (0,))[0] for c in contents) for k in set().union(*contents)}
+    texts, slot = set(), None
+    for v in set(vector.values()):
+        members = [k for k in vector if vector[k] == v]
+        if sum(n > 0 for n in v) >= support and any(k & 1 for k in members):
+            texts |= {k for k in members if not k & 1}
+            if html_extract.ROOT in members:
+                mass = {k: sum(c[k][1] for c in contents) for k in members if k & 1}
+                held = [k for k in mass if mass[k] and 2 * mass[k] > mass[html_extract.ROOT]]
+                slot = max(held, key=lambda k: contents[0][k][2], default=None)
+    return texts, slot
+
+
+def test_template_against_brute_force(spark):
+    rng = random.Random(5)
+    rows, by_host = [], {}
+    for h in range(12):
+        lines = [f"fixed line {h} {k}" for k in range(4)]
+        for n in range(rng.randint(3, 12)):
+            blocks = [f"<div class=b{k}><p>{rng.choice(lines) if rng.random() < .5 else lines[k]}</p></div>" for k in range(4) if rng.random() < .8]
+            words = "".join(f"<p>{rng.randint(0, 99)} words {rng.randint(0, 9)}</p>" for _ in range(rng.randint(0, 5)))
+            page = f"<body>{''.join(blocks)}<div class=c><section>{words}</section></div></body>"
+            rows.append((len(rows), f"http://h{h}.example/{n}", page))
+            by_host.setdefault(f"h{h}.example", []).append(page)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", html_extract.host_of(F.col("url")))
+    got = {r.host: (set(r.texts), r.slot) for r in html_extract.templates(df, 4).collect()}
+    for host, pages in by_host.items():
+        texts, slot = brute_template(pages, 4)
+        assert got.get(host, (set(), None)) == (texts, slot)
+
+
+def test_slot_takes_the_text(spark):
+    """Pages without article or main: what the host's slot holds, not the text beside it."""
+    pages = [(k, f"http://s.example/{k}", f"<body><div class=top>Today {k * 3}</div><div class=wide><div class=story><p>Story {k} is told here at "
+              f"length.</p><p>It ends {k}.</p></div></div><div class=foot>Seen {k * 11} times</div></body>") for k in range(9)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Story {k} is told here at length. It ends {k}." for k in range(9)}
+
+
 def test_templates_and_extract(spark):
     pages = [(k, f"http://a.example/{k}", PAGE.format(body=f"<div class=x><p>Text of page {k}</p><p>More {k * 7}</p></div>", n=k)) for k in range(12)]
     same = [(100 + k, "http://b.example/p", PAGE.format(body="<article><p>All the same</article>", n=0)) for k in range(12)]
