@@ -17,6 +17,7 @@ import cases  # noqa: E402
 
 from cohortlens.llm import bpe, kn_quality, license_scan, line_dedup, minhash_dedup, packing, secret_scan  # noqa: E402
 from cohortlens.llm.queries import VOCAB  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -267,12 +268,45 @@ def test_more_than_256_shards(spark, monkeypatch, words):
     want, _, _ = brute_perplexity([t for _, t in texts[:60]], [t for _, t in texts])
     model = kn_quality.train(cases.documents(spark, texts[:60]))
     monkeypatch.setattr(kn_quality, "SHARD_BYTES", sum(len(t.encode()) for _, t in texts) / 300)     # 512 shards
+    monkeypatch.setattr(kn_quality, "SHARD_ROWS", 1)
     monkeypatch.setattr(kn_quality, "LOCAL_WORDS", words)
     got = {r.id: r.perplexity for r in kn_quality.perplexity(cases.documents(spark, texts).coalesce(1), model).collect()}
     for (i, _), x in zip(texts, want):
         assert got[i] == pytest.approx(x, rel=1e-6)
 
 
+@pytest.mark.parametrize("words", [10 ** 6, 0])
+def test_batches_of_blocks(spark, monkeypatch, words):
+    texts = sample_texts(120)
+    want, _, _ = brute_perplexity([t for _, t in texts[:60]], [t for _, t in texts])
+    model = kn_quality.train(cases.documents(spark, texts[:60]))
+    monkeypatch.setattr(kn_quality, "SHARD_BYTES", 512)
+    monkeypatch.setattr(kn_quality, "SHARD_ROWS", model.types // 3)
+    monkeypatch.setattr(kn_quality, "BLOCK_BYTES", 1024)
+    monkeypatch.setattr(kn_quality, "LOCAL_WORDS", words)
+    shards, batches = kn_quality.layout(sum(len(t.encode()) for _, t in texts), model.types)
+    assert shards == 4 and batches > 8
+    got = {r.id: r.perplexity for r in kn_quality.perplexity(cases.documents(spark, texts).repartition(7), model).collect()}
+    for (i, _), x in zip(texts, want):
+        assert got[i] == pytest.approx(x, rel=1e-6)
+
+
+def test_requests_grow_with_the_corpus(spark, monkeypatch):
+    """Rows sent to the shards grow in proportion, and no group holds more than its share."""
+    assert kn_quality.layout(30 << 30, 4_000_000) == (512, 1) and kn_quality.layout(100 << 40, 4_000_000) == (1024, 1600)
+    monkeypatch.setattr(kn_quality, "SHARD_BYTES", 4096)
+    monkeypatch.setattr(kn_quality, "BLOCK_BYTES", 1)
+    sent = {}
+    for times in (1, 4, 16):
+        texts = [(i, t) for i, (_, t) in enumerate(sample_texts(80) * times)]
+        shards, batches = kn_quality.layout(sum(len(t.encode()) for _, t in texts), 20_000)
+        base = cases.documents(spark, texts).select(F.col("doc_id").alias("id"), "lang", "text").repartition(10 * times)
+        rows = kn_quality.requests(base, shards, "text").groupBy("shard").count().collect()
+        assert shards <= 8 and sum(r["count"] for r in rows if r["shard"] == kn_quality.DOCUMENTS) <= 10 * times
+        sent[times] = sum(r["count"] for r in rows), shards * batches
+    assert sent[16][0] <= 4.2 * sent[4][0] and sent[16][1] <= 4.5 * sent[4][1]
+
+
 def test_request_round_trip():
     code = np.sort(np.random.default_rng(1).integers(0, 1 << 56, 5000).astype(np.uint64))
     key, per_key, doc, count = kn_quality.decode_request(kn_quality.encode_request(code, np.arange(5000)))
