@@ -2,47 +2,25 @@
 (J2), exact copies (J3), k-anonymity (A6), singling-out / linkability /
 inference risks (D1–D3).
 
-Nearest-record join — exact, without a cross join
--------------------------------------------------
-1. Real rows are standardised (real mean, ddof-1 std, std 0 → 1) and reduced
-   to *distinct* vectors, so a value shared by a third of the rows is one
-   point. The table is checkpointed (lineage cut, survives executor loss).
-2. A k-d tree of depth D (2^D leaves, ≤ 4096) is built on the driver from a
-   bounded sample (≤ 32 points per leaf); it is applied to every row as one
-   lambda expression (heap walk), so each real vector gets a leaf id.
-3. Pass 1: each distinct synthetic vector goes to its home leaf. Leaves are
-   cogrouped with Arrow batches (``cogroup.applyInPandas``); query vectors
-   of a leaf are split into chunks of ≤ ``chunk`` rows (hash salt) and the
-   leaf's real rows are replicated per chunk, so no group is unbounded even
-   when one leaf is hot. Distances are direct differences in float64.
-4. Pass 2: with d₁ from pass 1, only leaves whose bounding box lies closer
-   than d₁ can hold a nearer point; they are listed by a lambda over the
-   (L × dims) box array and searched the same way. min(pass 1, pass 2) is
-   exact. Pairs are never materialised as rows.
+The nearest-record search itself is ``operators.nearest``.
 """
 
 from __future__ import annotations
 
 import json
-import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions.expr import br, r6
 from cohortlens.functions.quantiles import exact_quantiles
-from cohortlens.session import checkpoint_dir
+from cohortlens.operators.nearest import NearestIndex, nearest_distance, stats_and_count
+from cohortlens.session import materialize, reuse
 
-# the search functions travel with the job, so workers need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+__all__ = ["NearestIndex", "materialize", "nearest_distance", "reuse"]
 
 EXACT_EPS = 1e-6           # distance below which a record counts as copied
-_BLOCK = 4_000_000         # doubles per numpy distance block (≈ 32 MB)
 
 
 # ------------------------------------------------------------------ helpers
@@ -51,39 +29,9 @@ def const_array(values, typ: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{typ}>")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's checkpoint folder: cuts the
-    lineage and freezes the rows (used where positions must not change on
-    recomputation, and in iterative loops)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep an intermediate that several branches read (memory, spilling to
-    disk). Lost blocks are recomputed from lineage."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _stats_and_count(real: DataFrame, cols: list[str]):
-    """Mean, ddof-1 std (0 or undefined → 1) per column and the number of
-    rows with every column present — one aggregate pass."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    r = real.agg(F.count_if(cond).alias("_n"),
-                 *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    means = [r[f"m{i}"] or 0.0 for i in range(len(cols))]
-    stds = [(r[f"s{i}"] if r[f"s{i}"] not in (None, 0.0) and not math.isnan(r[f"s{i}"]) else 1.0)
-            for i in range(len(cols))]
-    return means, stds, r["_n"]
-
-
 def standardize_stats(real: DataFrame, cols: list[str]) -> tuple[list[float], list[float]]:
     """Real mean and ddof-1 std per column (std 0 or undefined → 1)."""
-    means, stds, _ = _stats_and_count(real, cols)
+    means, stds, _ = stats_and_count(real, cols)
     return means, stds
 
 
@@ -91,233 +39,6 @@ def zvector(cols: list[str], means, stds) -> Column:
     return F.array(*[(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, means, stds)])
 
 
-# ----------------------------------------------------------------- k-d tree
-def build_kdtree(points: np.ndarray, depth: int) -> tuple[list[int], list[float]]:
-    """Median splits on the widest dimension; heap arrays of size 2^depth
-    (index 0 unused). ``x[dim] > split`` goes right."""
-    n_nodes = 2 ** depth
-    dims, vals = [0] * n_nodes, [0.0] * n_nodes
-
-    def rec(node, pts, level):
-        if level == depth:
-            return
-        dim, split = 0, float("inf")
-        if len(pts):
-            spread = pts.max(axis=0) - pts.min(axis=0)
-            for cand in np.argsort(-spread):
-                col = np.sort(pts[:, cand])
-                m = col[(len(col) - 1) // 2]
-                if m >= col[-1]:           # all ≥ median are equal: split below the max
-                    lower = col[col < col[-1]]
-                    if not len(lower):
-                        continue
-                    m = lower[-1]
-                dim, split = int(cand), float(m)
-                break
-        dims[node], vals[node] = dim, split if math.isfinite(split) else 1e308
-        if len(pts):
-            right = pts[:, dim] > split
-            rec(2 * node, pts[~right], level + 1)
-            rec(2 * node + 1, pts[right], level + 1)
-        else:
-            rec(2 * node, pts, level + 1)
-            rec(2 * node + 1, pts, level + 1)
-
-    rec(1, points, 0)
-    return dims, vals
-
-
-def leaf_expr(v: Column, dims: list[int], vals: list[float], depth: int) -> Column:
-    """Leaf id in [0, 2^depth) by walking the heap-ordered tree."""
-    if depth == 0:
-        return F.lit(0)
-    d_arr, v_arr = const_array(dims, "int"), const_array(vals, "double")
-    node = F.aggregate(
-        F.sequence(F.lit(1), F.lit(depth)), F.lit(1),
-        lambda nd, _i: nd * 2 + F.when(
-            F.element_at(v, F.element_at(d_arr, nd + 1) + 1) > F.element_at(v_arr, nd + 1), 1).otherwise(0))
-    return (node - F.lit(2 ** depth)).cast("int")
-
-
-# --------------------------------------------------------- leaf-local search
-def exact_nearest(Q: np.ndarray, R: np.ndarray, block: int = _BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """Exact min squared distance from each row of Q to the rows of R and
-    the first index attaining it. A BLAS expansion |q|²+|r|²−2q·r shortlists
-    every r within a tolerance far above its rounding error of the
-    expanded minimum; the shortlist is then recomputed by direct
-    differences, so the result equals a brute-force search."""
-    qn = np.einsum("ij,ij->i", Q, Q)
-    rn = np.einsum("ij,ij->i", R, R)
-    rmax = rn.max() if len(rn) else 0.0
-    out_d = np.full(len(Q), np.inf)
-    out_i = np.zeros(len(Q), dtype=np.int64)
-    qb = max(1, min(len(Q), block // max(1, len(R))))
-    for i in range(0, len(Q), qb):
-        blk = Q[i:i + qb]
-        D = qn[i:i + qb, None] + rn[None, :] - 2.0 * (blk @ R.T)
-        m = D.min(axis=1)
-        tol = 1e-9 * (qn[i:i + qb] + rmax + 1.0)
-        qi, ri = np.nonzero(D <= (m + tol)[:, None])
-        diff = blk[qi] - R[ri]
-        ex = np.einsum("ij,ij->i", diff, diff)
-        order = np.lexsort((ri, ex, qi))        # per query: smallest distance, then smallest index
-        qi, ri, ex = qi[order], ri[order], ex[order]
-        first = np.ones(len(qi), dtype=bool)
-        first[1:] = qi[1:] != qi[:-1]
-        out_d[i + qi[first]] = ex[first]
-        out_i[i + qi[first]] = ri[first]
-    return out_d, out_i
-
-
-def _nn_fn(zc: list[str]):
-    """Per (leaf, chunk) group: exact min squared distance of each query to
-    the group's real rows, plus the payload of the nearest one (smallest
-    payload among equidistant rows). Vectors arrive as plain double columns
-    (zero-copy Arrow → numpy)."""
-    def fn(_key, r: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0:
-            return pd.DataFrame({**{c: pd.Series([], dtype="float64") for c in zc},
-                                 "leaf": pd.Series([], dtype="int32"), "d2": pd.Series([], dtype="float64"),
-                                 "p": pd.Series([], dtype=object)})
-        Q = q[zc].to_numpy(dtype=np.float64)
-        d2 = np.full(len(Q), np.inf)
-        pay = np.full(len(Q), None, dtype=object)
-        if len(r):
-            r = r.sort_values("p", kind="stable", na_position="last")
-            R = r[zc].to_numpy(dtype=np.float64)
-            P = r["p"].to_numpy(dtype=object)
-            d2[:], arg = exact_nearest(Q, R)
-            pay[:] = P[arg]
-        out = q[zc].copy()
-        out["leaf"] = q["leaf"].astype("int32").to_numpy()
-        out["d2"] = d2
-        out["p"] = pay
-        return out
-    return fn
-
-
-def _leaf_search(real_leaf: DataFrame, queries: DataFrame, zc: list[str], chunk: int) -> DataFrame:
-    """min squared distance of every (z…, leaf) query to the real rows of
-    that leaf; queries of a leaf are salted into ≤ ``chunk``-row groups and
-    the leaf's real rows replicated per salt."""
-    # salts per leaf: ≤ 2^depth ≤ 4096 numbers, applied as a map constant (no join)
-    nch = {r["leaf"]: r["nch"] for r in queries.groupBy("leaf").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("nch")).collect()}
-    m = F.create_map(*[x for k, v in sorted(nch.items()) for x in (F.lit(k), F.lit(v))]) if nch else None
-    if m is None:
-        return queries.sparkSession.createDataFrame(
-            [], ", ".join(f"{c} double" for c in zc) + ", leaf int, d2 double, p string")
-    q = queries.withColumn("nch", m[F.col("leaf")]).withColumn(
-        "ch", F.pmod(F.xxhash64(*zc), F.col("nch")).cast("int"))
-    r = (real_leaf.withColumn("nch", m[F.col("leaf")]).where(F.col("nch").isNotNull())
-         .withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("nch") - 1))))
-    schema = ", ".join(f"{c} double" for c in zc) + ", leaf int, d2 double, p string"
-    return (r.select("leaf", "ch", *zc, "p").groupBy("leaf", "ch")
-            .cogroup(q.select("leaf", "ch", *zc).groupBy("leaf", "ch"))
-            .applyInPandas(_nn_fn(zc), schema))
-
-
-def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None = None,
-                     keep: list[str] | None = None, vector_col: str | None = None,
-                     standardize: bool = True, leaf_size: int = 2048, chunk: int = 2048,
-                     seed: int = 42, payload: str | None = None, stats=None) -> DataFrame:
-    """Exact Euclidean distance from every synthetic row to its nearest real
-    row: (keep..., dcr). ``cols``: numeric columns (z-scored with the real
-    table's statistics when ``standardize``); or ``vector_col``: an array
-    column used as is. Rows with a NULL/NaN feature get dcr NULL.
-    ``payload``: a column of ``real`` returned (as text) for the nearest
-    real row in ``nn_payload`` (smallest among equidistant rows).
-    ``stats``: (means, stds) to standardise with instead of real's own."""
-    keep = list(keep or [])
-    if vector_col:
-        n_rows = None
-        dim = real.select(F.max(F.size(vector_col))).first()[0] or 0
-        zc = [f"_z{i}" for i in range(dim)]
-        zr = zs = [F.col(vector_col).cast("array<double>")[i].alias(c) for i, c in enumerate(zc)]
-    else:
-        n_rows = None
-        if stats is not None:
-            means, stds = stats
-        elif standardize:
-            means, stds, n_rows = _stats_and_count(real, cols)
-        else:
-            means, stds = [0.0] * len(cols), [1.0] * len(cols)
-        dim = len(cols)
-        zc = [f"_z{i}" for i in range(dim)]
-        zr = zs = [((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(z)
-                   for c, m, s, z in zip(cols, means, stds, zc)]
-    valid = F.lit(True)
-    for c in zc:
-        valid = valid & F.col(c).isNotNull() & ~F.isnan(F.col(c))
-    pcol = F.col(payload).cast("string") if payload else F.lit(None).cast("string")
-    R = reuse(real.select(*zr, pcol.alias("p")).where(valid).groupBy(*zc).agg(F.min("p").alias("p")))
-    S = synth.select(*keep, *zs)
-    # tree size from the row count (an upper bound of the distinct count) and split
-    # points from a bounded sample of raw rows: no job has to wait for the dedup
-    n = n_rows if n_rows is not None else real.select(*zr).where(valid).count()
-    if n == 0 or dim == 0:
-        out = S.select(*keep, F.lit(None).cast("double").alias("dcr"), F.lit(None).cast("string").alias("nn_payload"))
-        return out if payload else out.drop("nn_payload")
-    depth = 0 if n <= leaf_size else min(12, math.ceil(math.log2(n / leaf_size)))
-    L = 2 ** depth
-    target = min(n, max(4096, 32 * L))
-    sample = (real.select(*zr).where(valid).sample(fraction=min(1.0, 1.2 * target / n), seed=seed).collect()
-              if depth else [])
-    pts = np.unique(np.array([list(row) for row in sample], dtype=np.float64).reshape(-1, dim), axis=0)
-    dims, vals = build_kdtree(pts, depth)
-    vec = F.array(*[F.col(c) for c in zc])
-    RL = R.withColumn("leaf", leaf_expr(vec, dims, vals, depth))
-    SV = reuse(S.select(*zc).where(valid).dropDuplicates(zc).withColumn("leaf", leaf_expr(vec, dims, vals, depth)))
-    p1 = _leaf_search(RL, SV, zc, chunk)
-    best = p1.select(*zc, "d2", "p")
-    if L > 1:
-        p1 = reuse(p1)
-        best = p1.select(*zc, "d2", "p")
-        # tight bounding boxes of the real rows per leaf (L × dims numbers)
-        bx = RL.groupBy("leaf").agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(zc)],
-                                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(zc)]).collect()
-        lo_n, hi_n, ok_n = np.zeros((L, dim)), np.zeros((L, dim)), np.zeros(L, dtype=bool)
-        for row in bx:
-            i = row["leaf"]
-            ok_n[i] = True
-            lo_n[i] = [row[f"lo{j}"] for j in range(dim)]
-            hi_n[i] = [row[f"hi{j}"] for j in range(dim)]
-
-        def candidates(batches):
-            """Leaves (other than home) whose box is closer than the pass-1
-            distance — vectorised over (query × leaf × dim) blocks."""
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                Q = pdf[zc].to_numpy(dtype=np.float64)
-                bound = pdf["d2"].to_numpy() * (1 + 1e-9) + 1e-12
-                home = pdf["leaf"].to_numpy()
-                step = max(1, 2_000_000 // (L * dim))
-                qi_all, li_all = [], []
-                for i in range(0, len(Q), step):
-                    q = Q[i:i + step]
-                    gap = np.maximum(np.maximum(lo_n[None, :, :] - q[:, None, :], q[:, None, :] - hi_n[None, :, :]), 0)
-                    bd2 = (gap * gap).sum(axis=2)
-                    m = (bd2 < bound[i:i + step, None]) & ok_n[None, :]
-                    m[np.arange(len(q)), home[i:i + step]] = False
-                    qi, li = np.nonzero(m)
-                    qi_all.append(qi + i)
-                    li_all.append(li)
-                qi = np.concatenate(qi_all)
-                li = np.concatenate(li_all)
-                out = pdf[zc].iloc[qi].reset_index(drop=True)
-                out["leaf"] = li.astype("int32")
-                yield out
-
-        cand = reuse(p1.select(*zc, "leaf", "d2").mapInPandas(
-            candidates, ", ".join(f"{c} double" for c in zc) + ", leaf int"))
-        best = best.unionByName(_leaf_search(RL, cand, zc, chunk).select(*zc, "d2", "p"))
-    best = best.groupBy(*zc).agg(F.min(F.struct("d2", "p")).alias("_best"))
-    out = S.join(best, zc, "left").select(*keep, F.sqrt(F.col("_best.d2")).alias("dcr"),
-                                          F.col("_best.p").alias("nn_payload"))
-    return out if payload else out.drop("nn_payload")
-
-
 def dcr(real: DataFrame, synth: DataFrame, cols: list[str], profile: str = "core",
         sample_size: int | None = None, seed: int = 42, real_key: list[str] | None = None,
         synth_key: list[str] | None = None, **kw) -> DataFrame:

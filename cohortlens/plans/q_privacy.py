@@ -96,7 +96,7 @@ SELECT s.vec_id, round(min(list_distance(s.embedding, r.embedding)), 6) + 0.0 AS
 FROM emb_synth s, emb_real r GROUP BY s.vec_id""", "emb_real", "emb_synth"))
 def q_dcr_embeddings(spark, d):
     r = pv.nearest_distance(fx.emb_real(spark, d), fx.emb_synth(spark, d), vector_col="embedding",
-                            keep=["vec_id"], leaf_size=128)
+                            keep=["vec_id"])
     return r.select("vec_id", r6(F.col("dcr")).alias("dcr"))
 
 

@@ -4,6 +4,7 @@ rows) and ties."""
 
 import numpy as np
 
+from cohortlens.operators import nearest as nn
 from cohortlens.operators import privacy as pv
 
 
@@ -40,3 +41,54 @@ def test_vector_column_and_payload(spark):
     for r in out:
         assert abs(r["dcr"] - d[r["qid"]].min()) < 1e-12
         assert int(r["nn_payload"]) == int(d[r["qid"]].argmin())
+
+
+def test_buckets_stay_small_beyond_the_driver_tree(spark):
+    """A driver's tree of 4 cells only: the tasks' trees take over, to more
+    than 4,096 buckets, and the answers stay those of a brute-force search."""
+    rng = np.random.default_rng(11)
+    R = np.vstack([rng.normal(size=(14000, 2)), np.tile([[0.25, 0.5]], (5000, 1)),
+                   np.round(rng.normal(size=(4000, 2)), 1)])
+    Q = np.vstack([rng.normal(size=(300, 2)) * 2, R[:20], [[0.25, 0.5]]])
+    real = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(R)], "rid long, x double, y double")
+    synth = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(Q)], "i long, x double, y double")
+    index = nn.NearestIndex(real, ["x", "y"], standardize=False, leaf_size=2, max_cells=4, in_task=1, payload="rid")
+    sizes = index.points.groupBy("bucket").count().agg({"count": "max", "bucket": "count"}).first()
+    assert index.splits and sizes["count(bucket)"] > 4096 and sizes["max(count)"] <= 4
+    got = {r["i"]: r for r in index.search(synth, ["i"], chunk=40).collect()}
+    d = ((Q[:, None, :] - R[None, :, :]) ** 2).sum(axis=2)
+    for i in range(len(Q)):
+        assert abs(got[i]["dcr"] - np.sqrt(d[i].min())) < 1e-12
+        ties = np.flatnonzero(d[i] == d[i].min())
+        assert got[i]["nn_payload"] == min(map(str, ties.tolist()))
+
+
+def test_task_tree_equals_brute_force():
+    rng = np.random.default_rng(5)
+    for dims in (1, 3, 20):
+        R = np.round(rng.normal(size=(700, dims)), 1)
+        Q = np.vstack([rng.normal(size=(90, dims)), R[:10]])
+        d = ((Q[:, None, :] - R[None, :, :]) ** 2).sum(axis=2)
+        for ties in (True, False):
+            d2, arg = nn.nearest_in(Q, R, ties, 16)
+            assert np.allclose(d2, d.min(axis=1), rtol=0, atol=1e-12)
+            if ties:
+                assert (d[np.arange(len(Q)), arg] == d.min(axis=1)).all()
+
+
+def test_empty_tables_and_missing_features(spark):
+    real = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "x double, y double")
+    synth = spark.createDataFrame([(1, 1.0, 5.0), (2, None, 2.0), (3, float("nan"), 2.0)], "i long, x double, y double")
+    got = {r["i"]: r["dcr"] for r in nn.nearest_distance(real, synth, ["x", "y"], ["i"], standardize=False).collect()}
+    assert got == {1: 3.0, 2: None, 3: None}
+    none = nn.nearest_distance(real.limit(0), synth, ["x", "y"], ["i"], standardize=False).collect()
+    assert [r["dcr"] for r in none] == [None] * 3
+    assert nn.nearest_distance(real, synth.limit(0), ["x", "y"], ["i"]).count() == 0
+
+
+def test_a_query_vector_is_shipped_once_per_bucket(spark):
+    """High dimensions prune nothing between leaves, but a vector still goes to one bucket."""
+    rng = np.random.default_rng(9)
+    real = spark.createDataFrame([([float(x) for x in r],) for r in rng.normal(size=(2000, 32))], "v array<double>")
+    index = nn.NearestIndex(real, vector_col="v", leaf_size=4096)
+    assert len(index.cell) == 1 and index.splits == 0
