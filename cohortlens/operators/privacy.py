@@ -200,18 +200,16 @@ def singling_out(real: DataFrame, synth: DataFrame, attrs: list[str]) -> DataFra
 
 # ---------------------------------------------- D2 / D3 linkability, inference
 def linkability(real: DataFrame, synth: DataFrame, attrs_a: list[str], attrs_b: list[str],
-                real_key: list[str], synth_key: list[str], **kw) -> DataFrame:
+                synth_key: list[str], **kw) -> DataFrame:
     """Share of real rows whose nearest synthetic row on ``attrs_a`` is the
     same row as on ``attrs_b`` (exact searches, both standardised with the
-    real table's statistics)."""
-    sid = F.concat_ws("|", *[F.col(k).cast("string") for k in synth_key])
-    s2 = synth.withColumn("_sid", sid)
-    a = nearest_distance(s2, real, attrs_a, keep=real_key, payload="_sid",
-                         stats=standardize_stats(real, attrs_a), **kw)
-    b = nearest_distance(s2, real, attrs_b, keep=real_key, payload="_sid",
-                         stats=standardize_stats(real, attrs_b), **kw)
-    j = a.select(*real_key, F.col("nn_payload").alias("na")).join(
-        b.select(*real_key, F.col("nn_payload").alias("nb")), real_key)
+    real table's statistics; rows count one by one, whatever key they share).
+    The second search carries the first one's answer along."""
+    s2 = synth.withColumn("_sid", F.concat_ws("|", *[F.col(k).cast("string") for k in synth_key]))
+    a = nearest_distance(s2, real, attrs_a, keep=attrs_b, payload="_sid",
+                         stats=standardize_stats(real, attrs_a), **kw).withColumnRenamed("nn_payload", "na")
+    j = nearest_distance(s2, a, attrs_b, keep=["na"], payload="_sid",
+                         stats=standardize_stats(real, attrs_b), **kw).withColumnRenamed("nn_payload", "nb")
     return j.agg(F.count(F.lit(1)).alias("n_real"), F.count_if(F.col("na") == F.col("nb")).alias("linked")).select(
         "n_real", "linked", r6(F.try_divide(F.col("linked"), F.col("n_real"))).alias("linkability_risk"))
 

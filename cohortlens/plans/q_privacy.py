@@ -195,13 +195,45 @@ def q_singling_out(spark, d):
 
 
 # ---------------------------------------------------- D2 / D3 (rows-only)
-@register("linkability")
+def _nearest_ctes(name: str, cols: list[str], payload: str) -> list[tuple[str, str]]:
+    """Payload of the nearest synthetic row (smallest among equidistant ones)
+    for every distinct real vector: the CTE ``<name>n`` (z…, p)."""
+    at = [FEAT.index(c) for c in cols]
+    z = [f"z{i}" for i in at]
+    zs = ", ".join(f"{_z(c, i)} AS z{i}" for c, i in zip(cols, at))
+    d2 = " + ".join(f"(q.{x} - r.{x}) * (q.{x} - r.{x})" for x in z)
+    qz = ", ".join(f"q.{x}" for x in z)
+    return [(f"{name}s", f"SELECT {zs}, min({payload}) AS p FROM synth_li, st GROUP BY {', '.join(map(str, range(1, len(z) + 1)))}"),
+            (f"{name}q", f"SELECT DISTINCT {zs} FROM real_li, st"),
+            (f"{name}m", f"SELECT {qz}, min({d2}) AS d FROM {name}q q, {name}s r GROUP BY {qz}"),
+            (f"{name}n", f"SELECT {qz}, min(r.p) AS p FROM {name}m q, {name}s r WHERE {d2} = q.d GROUP BY {qz}")]
+
+
+def _nearest_sql(body: str, *searches) -> str:
+    ctes = [c for s in searches for c in _nearest_ctes(*s)]
+    return with_views(body, "real_li", "synth_li", ctes=[("st", f"SELECT {_ST} FROM real_li"), *ctes])
+
+
+_SID = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in KEY) + ")"
+_LINK_A, _LINK_B = ["l_quantity", "l_extendedprice"], ["l_discount", "l_tax", "flag_cls"]
+_GUESS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _same(name: str, cols: list[str]) -> str:
+    return " AND ".join(f"{name}.z{FEAT.index(c)} = {_z('t.' + c, FEAT.index(c))}" for c in cols)
+
+
+@register("linkability", _nearest_sql(f"""
+SELECT count(*) AS n_real, count_if(a.p = b.p) AS linked, round(count_if(a.p = b.p) / count(*), 6) + 0.0 AS linkability_risk
+FROM real_li t, st, nn_an a, nn_bn b WHERE {_same('a', _LINK_A)} AND {_same('b', _LINK_B)}""",
+                                      ("nn_a", _LINK_A, _SID), ("nn_b", _LINK_B, _SID)))
 def q_linkability(spark, d):
-    return pv.linkability(fx.real_li(spark, d), fx.synth_li(spark, d), ["l_quantity", "l_extendedprice"],
-                          ["l_discount", "l_tax", "flag_cls"], real_key=KEY, synth_key=KEY)
+    return pv.linkability(fx.real_li(spark, d), fx.synth_li(spark, d), _LINK_A, _LINK_B, synth_key=KEY)
 
 
-@register("attribute_inference")
+@register("attribute_inference", _nearest_sql(f"""
+SELECT count(*) AS n_real, count_if(a.p = CAST(t.status_bin AS VARCHAR)) AS correct,
+       round(count_if(a.p = CAST(t.status_bin AS VARCHAR)) / count(*), 6) + 0.0 AS inference_accuracy
+FROM real_li t, st, nn_an a WHERE {_same('a', _GUESS)}""", ("nn_a", _GUESS, "CAST(status_bin AS VARCHAR)")))
 def q_attribute_inference(spark, d):
-    return pv.attribute_inference(fx.real_li(spark, d), fx.synth_li(spark, d),
-                                  ["l_quantity", "l_extendedprice", "l_discount"], "status_bin", real_key=KEY)
+    return pv.attribute_inference(fx.real_li(spark, d), fx.synth_li(spark, d), _GUESS, "status_bin", real_key=KEY)

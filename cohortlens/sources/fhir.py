@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import glob as _glob
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,12 +30,14 @@ BUNDLE_SCHEMA = _st(("resourceType", _S), ("entry", T.ArrayType(_st(("resource",
 
 def read_bundles(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """One row per bundle file: (bundle_id = file path, bundle). Non-Bundle
-    documents are skipped. ``max_files`` caps the number of files read
-    (listing only; the data is read by the executors)."""
+    documents are skipped. ``max_files`` reads the first files by path only
+    (of Spark's own listing, so any file system it reads will do)."""
     paths = path
     if max_files:
-        files = sorted(_glob.glob(os.path.join(path, "*.json")))[:max_files]
-        paths = files
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select("path")
+        paths = [r["path"] for r in listed.orderBy("path").limit(max_files).collect()]
+        if not paths:
+            return spark.createDataFrame([], _st(("bundle_id", _S), ("bundle", BUNDLE_SCHEMA)))
     df = spark.read.schema(BUNDLE_SCHEMA).option("multiLine", "true").json(paths)
     return (df.where(F.col("resourceType") == "Bundle")
             .select(F.input_file_name().alias("bundle_id"), F.struct(*df.columns).alias("bundle")))

@@ -40,6 +40,20 @@ def test_report_json_roundtrip(spark):
     assert spark.read.json(os.path.join(d, "out")).count() == 4
 
 
+def test_report_sections_need_no_schema(spark):
+    """A section of one file alone, clashing types, NaN, odd names, texts, arrays and files without numbers."""
+    d = tempfile.mkdtemp()
+    reports = {"report_a_x.json": {"s": {"m": 1, "t": "7"}, "top": 3, "list": [1, 2]},
+               "report_b.json": {"s": {"m": {"deep": {"er": 2.5}}, "n": None}, "new sec.tion": {"k.1": -1e300, "big": 2**60}},
+               "report_c_full.json": {"s": {"m": "text"}}, "report_d.json": []}
+    for name, body in reports.items():
+        with open(os.path.join(d, name), "w") as f:
+            json.dump(body, f, indent=1)
+    got = {tuple(r) for r in rp.read_reports(spark, d + "/*.json").collect()}
+    assert got == {("a", "x", "s", "m", 1.0), ("b", "", "s", "m.deep.er", 2.5), ("b", "", "new sec.tion", "k.1", -1e300),
+                   ("b", "", "new sec.tion", "big", float(2**60))}
+
+
 def test_encoder_params_save_load(spark):
     df = spark.createDataFrame([(1, 2.0, "a"), (3, None, "b"), (2, 4.0, "a")], "i int, x double, s string")
     enc = en.MinMaxEncoder.fit(df)
@@ -65,4 +79,6 @@ def test_read_bundle_files(spark):
     bundles = read_bundles(spark, d, max_files=2)
     raw = fhir.flatten_raw(bundles).collect()
     assert len(raw) == 2 and raw[0]["heart_rate"] == 72.0 and raw[0]["race"] == "R1"
+    assert [r["bundle_id"][-7:] for r in bundles.orderBy("bundle_id").collect()] == ["b0.json", "b1.json"]
+    assert read_bundles(spark, tempfile.mkdtemp(), max_files=2).count() == 0
     assert fhir.flatten_raw(bundles).select(fhir.patient_age(F.col("birthDate"))).first()[0] == 45
