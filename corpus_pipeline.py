@@ -42,7 +42,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash_dedup.near_duplicates(docs, percent=85, width=5)
+    found = minhash_dedup.near_duplicates(docs, percent=80, width=5)
     return _without(docs, found.where("NOT kept").select("doc_id"))
 
 
