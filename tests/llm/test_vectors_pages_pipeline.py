@@ -250,7 +250,7 @@ def test_pipeline_stages(spark, tmp_path):
     got = {r.doc_id: r.text for r in lined.where("doc_id < 500").collect()}
     assert got == {i: t for i, t in want.items() if t.strip() or t == dict(some)[i]}
     near = corpus_pipeline.near_duplicates(spark, spark_docs, str(tmp_path))
-    label, _ = brute_near(rows, 85)
+    label, _ = brute_near(rows, 80)
     assert {r.doc_id for r in near.collect()} == {i for i, c in label.items() if i == c}
     clean = corpus_pipeline.secrets(spark, spark_docs, str(tmp_path))
     assert clean.columns == docs.columns and clean.where("doc_id = 900").first().text == "x y [secret] z\nmore words here"
