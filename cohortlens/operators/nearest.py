@@ -10,10 +10,12 @@
    points orders them in leaves of ``IN_TASK``: a query walks them nearest box
    first and stops at the first that lies beyond its best distance. A query's
    vector is thus shipped once per bucket, never per leaf.
-3. Queries go to their nearest bucket first. Its best distance bounds the
+3. Queries go to the bucket they fall into first. Its best distance bounds the
    others: in rounds of growing width a query visits its next nearest cells
-   whose box is closer than the bound, which tightens from round to round,
-   until none is left.
+   whose box is closer than the bound, which tightens from round to round.
+   Only queries with cells left go into the next round. Boxes are compared for
+   neighbouring queries together first (``boxes_within``), so that what a query
+   costs follows the cells near it, not the number of cells.
 
 Queries of a bucket are dealt to chunks by hash and the bucket's points
 repeated per chunk, so no group is unbounded where one bucket is hot. Pairs are
@@ -45,6 +47,7 @@ IN_TASK = 256              # points in a leaf of a task's own tree
 PART = 65_536              # rows of a large cell that one task deals out at a time
 _FIRST = 4                 # cells a query visits in the round after its home; four times as many in the next
 _BLOCK = 4_000_000         # doubles per numpy distance block (≈ 32 MB)
+_TOGETHER = 512            # neighbouring queries whose boxes are looked up together
 
 
 def stats_and_count(real: DataFrame, cols: list[str]):
@@ -159,6 +162,29 @@ def box_distances(Q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
+def boxes_within(Q: np.ndarray, limit: np.ndarray, home: np.ndarray, lo: np.ndarray, hi: np.ndarray
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, boxes, far): for groups of at most ``_TOGETHER`` queries of one
+    ``home``, the boxes that may lie within a query's ``limit`` and the squared
+    distances (inf beyond it). Boxes out of reach of the box around a whole group
+    are left out without a look at its queries."""
+    order = np.lexsort((limit, home))
+    cuts = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0, True])
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        for i in range(a, b, _TOGETHER):
+            rows = order[i:min(i + _TOGETHER, b)]
+            q, most = Q[rows], limit[rows]
+            low, high, far = q.min(axis=0), q.max(axis=0), np.zeros(len(lo))
+            for j in range(q.shape[1]):
+                gap = np.maximum(np.maximum(lo[:, j] - high[j], low[j] - hi[:, j]), 0)
+                far += gap * gap
+            boxes = np.flatnonzero(far <= most.max())
+            if len(boxes):
+                far = box_distances(q, lo[boxes], hi[boxes])
+                far[far > most[:, None]] = np.inf
+                yield rows, boxes, far
+
+
 def slack(d2, ties: bool):
     """Box distances up to this may hold a nearer point (or an equally near
     one, if ``ties`` matter; else a distance of 0 cannot be beaten)."""
@@ -225,8 +251,8 @@ class NearestIndex:
             self.features = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, means, stds)]
         self.z = [f"_z{i}" for i in range(len(self.features))]
         self.columns = ", ".join(f"{c} double" for c in self.z)
-        rows = real.select(*self.vectors(), (F.col(payload).cast("string") if payload else
-                                             F.lit(None).cast("string")).alias("p")).where(self.valid())
+        self.carried, self.text = (["p"], ", p string") if payload else ([], "")      # a payload travels where there is one
+        rows = real.select(*self.vectors(), *([F.col(payload).cast("string").alias("p")] if payload else [])).where(self.valid())
         self.empty = not self.z
         self.splits = 0
         if self.empty:
@@ -240,15 +266,15 @@ class NearestIndex:
             target = max(4096, PER_LEAF * want)
             sample = rows.select(*self.z).sample(fraction=min(1.0, 1.2 * target / n), seed=seed).collect()
         pts = np.unique(np.array([list(r) for r in sample], dtype=np.float64).reshape(-1, len(self.z)), axis=0)
-        tree = grow(pts, math.ceil(len(pts) / max(want, 1)))
+        self.tree = tree = grow(pts, math.ceil(len(pts) / max(want, 1)))
         z = self.z
 
         def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 yield f.assign(bucket=walk(f[z].to_numpy(dtype=np.float64), tree))
 
-        distinct = rows.groupBy(*z).agg(F.min("p").alias("p"))
-        self.points = reuse(distinct.mapInPandas(deal, f"{self.columns}, p string, bucket long"))
+        distinct = rows.groupBy(*z).agg(F.min("p").alias("p")) if payload else rows.dropDuplicates(z)
+        self.points = reuse(distinct.mapInPandas(deal, f"{self.columns}{self.text}, bucket long"))
         boxes = self._boxes(self.points, "bucket").collect()       # about MAX_CELLS rows
         self.empty = not boxes
         self.cell = np.array([b["bucket"] for b in boxes], dtype=np.int64)
@@ -280,7 +306,7 @@ class NearestIndex:
         """Every bucket above twice ``leaf_size`` is dealt out by a tree that a
         task grows from its own sample; ids gain 16 bits (a tree
         has no more leaves than sampled points)."""
-        z, size, most = self.z, self.leaf_size, self.max_split
+        z, size, most, kept = self.z, self.leaf_size, self.max_split, [*self.z, *self.carried]
         counts = self.points.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         large = reuse(counts.where(F.col("n") > 2 * size).withColumn(
             "want", F.least(F.ceil(F.col("n") / size), F.lit(most))).withColumn(
@@ -298,68 +324,87 @@ class NearestIndex:
         trees = trees.join(large.select("bucket", "parts"), "bucket").select(
             "bucket", "tree", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         marked = self.points.join(large.select("bucket", "parts"), "bucket", "left")
-        rows = marked.where("parts IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("p", *z), "parts").cast("int"))
+        rows = marked.where("parts IS NOT NULL").withColumn("part", F.pmod(F.xxhash64(*z), "parts").cast("int"))
 
         def deal(_key, f: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-            out = f[[*z, "p", "bucket"]].copy()
+            out = f[[*kept, "bucket"]].copy()
             out["bucket"] *= 65_536
             if len(t) and len(f):
                 out["bucket"] += walk(f[z].to_numpy(dtype=np.float64), pickle.loads(t["tree"].iloc[0]))
             return out
 
-        dealt = (rows.select(*z, "p", "bucket", "part").groupBy("bucket", "part")
+        dealt = (rows.select(*kept, "bucket", "part").groupBy("bucket", "part")
                  .cogroup(trees.groupBy("bucket", "part"))
-                 .applyInPandas(deal, f"{self.columns}, p string, bucket long"))
-        small = marked.where("parts IS NULL").select(*z, "p", (F.col("bucket") * 65_536).alias("bucket"))
+                 .applyInPandas(deal, f"{self.columns}{self.text}, bucket long"))
+        small = marked.where("parts IS NULL").select(*kept, (F.col("bucket") * 65_536).alias("bucket"))
         self.points = materialize(small.unionByName(dealt))
         self.splits += 1
 
     def _search(self, queries: DataFrame, chunk: int) -> DataFrame:
-        """(z…, bucket) → (z…, bucket, d2, p): nearest point of that bucket."""
-        z, ties, leaf = self.z, self.ties, self.in_task
+        """(z…, bucket) → (z…, bucket, d2[, p]): nearest point of that bucket."""
+        z, ties, leaf, carried = self.z, self.ties, self.in_task, self.carried
         chunks = reuse(queries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks")))
-        q = queries.join(chunks, "bucket").withColumn("ch", F.pmod(F.xxhash64(*z), "chunks").cast("int"))
-        r = self.points.join(chunks, "bucket").withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        few = (lambda x: x) if self.splits else F.broadcast          # a row a cell, about MAX_CELLS
+        q = queries.join(few(chunks), "bucket").withColumn("ch", F.pmod(F.xxhash64(*z), "chunks").cast("int"))
+        r = self.points.join(few(chunks), "bucket").withColumn("ch", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
 
         def nearest(_key, r: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
             out = q[[*z, "bucket"]].copy()
-            out["d2"], out["p"] = np.inf, None
+            out["d2"] = np.inf
+            if ties:
+                out["p"] = None
             if len(q) and len(r):
                 if ties:
                     r = r.sort_values("p", kind="stable", na_position="last")
-                d2, arg = nearest_in(q[z].to_numpy(dtype=np.float64), r[z].to_numpy(dtype=np.float64), ties, leaf)
-                out["d2"], out["p"] = d2, r["p"].to_numpy(dtype=object)[arg]
+                out["d2"], arg = nearest_in(q[z].to_numpy(dtype=np.float64), r[z].to_numpy(dtype=np.float64), ties, leaf)
+                if ties:
+                    out["p"] = r["p"].to_numpy(dtype=object)[arg]
             return out
 
-        return (r.select("bucket", "ch", *z, "p").groupBy("bucket", "ch")
+        return (r.select("bucket", "ch", *z, *carried).groupBy("bucket", "ch")
                 .cogroup(q.select("bucket", "ch", *z).groupBy("bucket", "ch"))
-                .applyInPandas(nearest, f"{self.columns}, bucket long, d2 double, p string"))
+                .applyInPandas(nearest, f"{self.columns}, bucket long, d2 double{self.text}"))
+
+    def _homes(self, queries: DataFrame) -> DataFrame:
+        """(z…) → (z…, home, d2, cell): the cell the driver's tree deals a query to."""
+        z, tree, lo, hi, ids = self.z, self.tree, self.lo, self.hi, self.cell
+
+        def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                Q = f[z].to_numpy(dtype=np.float64)
+                cell = walk(Q, tree)
+                none = np.flatnonzero(~np.isin(cell, ids))        # a cell that got no point
+                if len(none):
+                    cell[none] = ids[box_distances(Q[none], lo, hi).argmin(axis=1)]
+                yield f.assign(home=np.int64(-1), d2=np.inf, cell=cell)
+
+        return queries.mapInPandas(place, f"{self.columns}, home long, d2 double, cell long")
 
     def _cells(self, queries: DataFrame, since: int, width: int) -> DataFrame:
-        """(z…, bucket, d2) → (z…, home, d2, cell): cells number ``since`` up to
+        """(z…, bucket, d2) → (z…, home, d2, cell, more): cells number ``since`` up to
         ``since + width`` in order of their boxes' distance, while closer than
-        d2. The home cell comes first; if it is one bucket it is not listed again."""
+        d2, and whether others follow. A home cell that is one bucket is not listed again."""
         z, ties, lo, hi, ids, whole = self.z, self.ties, self.lo, self.hi, self.cell, not self.splits
+        at = slice(since - 1, since - 1 + width)
 
         def list_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
-                step = max(1, _BLOCK // len(ids))
-                for i in range(0, len(f), step):
-                    g = f.iloc[i:i + step]
-                    far = box_distances(g[z].to_numpy(dtype=np.float64), lo, hi)
-                    far[far > slack(g["d2"].to_numpy(), ties)[:, None]] = np.inf
-                    if whole and since:                       # searched in the first round
-                        far[ids[None, :] == g["bucket"].to_numpy()[:, None]] = np.inf
-                        at = slice(since - 1, since - 1 + width)
-                    else:
-                        at = slice(max(since - 1, 0), max(since - 1, 0) + width)
+                Q, home = f[z].to_numpy(dtype=np.float64), f["bucket"].to_numpy()
+                parts = []
+                for rows, boxes, far in boxes_within(Q, slack(f["d2"].to_numpy(), ties), home, lo, hi):
+                    if whole:                                 # searched in the first round
+                        far[ids[boxes][None, :] == home[rows][:, None]] = np.inf
                     order = np.argsort(far, axis=1, kind="stable")[:, at]
                     qi, k = np.nonzero(np.take_along_axis(far, order, 1) < np.inf)
-                    out = g.iloc[qi][[*z, "bucket", "d2"]].rename(columns={"bucket": "home"})
-                    yield out.assign(cell=ids[order[qi, k]])
+                    more = (far < np.inf).sum(axis=1) > at.stop
+                    parts.append((rows[qi], ids[boxes[order[qi, k]]], more[qi]))
+                if parts:
+                    rows, cell, more = (np.concatenate(c) for c in zip(*parts))
+                    out = f.iloc[rows][[*z, "bucket", "d2"]].rename(columns={"bucket": "home"})
+                    yield out.assign(cell=cell, more=more)
 
         return queries.select(*z, "bucket", "d2").mapInPandas(
-            list_cells, f"{self.columns}, home long, d2 double, cell long")
+            list_cells, f"{self.columns}, home long, d2 double, cell long, more boolean")
 
     def _targets(self, cells: DataFrame, first: bool) -> DataFrame:
         """(z…, bucket): the buckets of the listed cells closer than d2 (the
@@ -383,21 +428,33 @@ class NearestIndex:
             return queries.select(*keep, F.lit(None).cast("double").alias("dcr"),
                                   F.lit(None).cast("string").alias("nn_payload"))
         rows = queries.select(*keep, *self.vectors())
-        start = rows.select(*z).where(self.valid()).dropDuplicates(z).withColumns(
-            {"bucket": F.lit(-1).cast("long"), "d2": F.lit(float("inf"))})
-        best = reuse(self._search(reuse(self._targets(self._cells(start, 0, 1), True)), chunk))
-        since, width = 1, _FIRST
+        start = rows.select(*z).where(self.valid()).dropDuplicates(z)
+        best = live = reuse(self._search(reuse(self._targets(self._homes(start), True)), chunk))
+        found, since, width = [best.select(*z, "d2", *self.carried)], 1, _FIRST
         while since < len(self.cell) + bool(self.splits):
-            targets = reuse(self._targets(self._cells(best, since, width), False))
-            if not targets.isEmpty():
-                found = self._search(targets, chunk).select(*z, F.lit(None).cast("long").alias("bucket"), "d2", "p")
-                best = reuse(best.unionByName(found).groupBy(*z).agg(
-                    F.max("bucket").alias("bucket"), F.min(F.struct("d2", "p")).alias("_b"))
-                    .select(*z, "bucket", F.col("_b.d2").alias("d2"), F.col("_b.p").alias("p")))
-            elif not self.splits:
+            listed = reuse(self._cells(live, since, width))
+            targets = reuse(self._targets(listed, False))
+            if targets.isEmpty() and not self.splits:
                 break                     # cells come in order of distance: none was left within the bound
+            found.append(reuse(self._search(targets, chunk).select(*z, "d2", *self.carried)))
+            more = listed.where("more").select(*z, F.col("home").alias("bucket"), "d2")
+            if more.isEmpty():
+                break
+            tighter = found[-1].select(*z, F.lit(None).cast("long").alias("bucket"), "d2")
+            # written, so that a round's plan does not hold those of all rounds before it
+            live = materialize(more.unionByName(tighter).groupBy(*z).agg(F.max("bucket").alias("bucket"), F.min("d2").alias("d2"))
+                               .where("bucket IS NOT NULL"))
             since, width = since + width, 4 * width
-        return rows.join(best, z, "left").select(*keep, F.sqrt("d2").alias("dcr"), F.col("p").alias("nn_payload"))
+        if len(found) > 1:
+            every = found[0]
+            for f in found[1:]:
+                every = every.unionByName(f)
+            if self.ties:
+                best = every.groupBy(*z).agg(F.min(F.struct("d2", "p")).alias("_b")).select(*z, "_b.*")
+            else:
+                best = every.groupBy(*z).agg(F.min("d2").alias("d2"))
+        payload = F.col("p") if self.ties else F.lit(None).cast("string")
+        return rows.join(best, z, "left").select(*keep, F.sqrt("d2").alias("dcr"), payload.alias("nn_payload"))
 
 
 def nearest_distance(real: DataFrame, synth: DataFrame, cols: list[str] | None = None,

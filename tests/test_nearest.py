@@ -3,6 +3,7 @@ brute force, with several leaves, a hot duplicated value (a third of the
 rows) and ties."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cohortlens.operators import nearest as nn
 from cohortlens.operators import privacy as pv
@@ -92,3 +93,41 @@ def test_a_query_vector_is_shipped_once_per_bucket(spark):
     real = spark.createDataFrame([([float(x) for x in r],) for r in rng.normal(size=(2000, 32))], "v array<double>")
     index = nn.NearestIndex(real, vector_col="v", leaf_size=4096)
     assert len(index.cell) == 1 and index.splits == 0
+
+
+def test_boxes_are_looked_up_for_neighbouring_queries_together():
+    """What a query costs follows the boxes near it, not their number: 4,096 boxes and tight
+    bounds (a few loose ones among them) take few comparisons and find the boxes brute force finds."""
+    rng = np.random.default_rng(13)
+    at = np.stack(np.meshgrid(np.arange(64.0), np.arange(64.0), indexing="ij"), -1).reshape(-1, 2)
+    lo, hi = at + 0.05, at + 0.95
+    Q = np.repeat(at[rng.integers(0, len(at), 40)], 64, axis=0) + rng.random((2560, 2))
+    home = (np.floor(Q[:, 0]) * 64 + np.floor(Q[:, 1])).astype(np.int64)
+    limit = np.where(rng.random(len(Q)) < 0.01, 9.0, 0.02)
+    limit[:5] = -1.0                                          # nothing nearer than a copy
+    want, compared, got = nn.box_distances(Q, lo, hi), 0, set()
+    for rows, boxes, far in nn.boxes_within(Q, limit, home, lo, hi):
+        compared += far.size
+        for i, j in zip(*np.nonzero(far < np.inf)):
+            assert far[i, j] == want[rows[i], boxes[j]]
+            got.add((int(rows[i]), int(boxes[j])))
+    assert got == set(zip(*map(list, (x.tolist() for x in np.nonzero(want <= limit[:, None])))))
+    assert compared < 100 * len(Q) < want.size / 40
+
+
+def test_only_queries_with_cells_left_go_on(spark):
+    """Rounds go on with the queries that have cells left; far queries, whose bound reaches many
+    cells, and near ones both end at their nearest point."""
+    rng = np.random.default_rng(17)
+    R = rng.normal(size=(3000, 3))
+    R /= np.linalg.norm(R, axis=1)[:, None]                    # a sphere: its centre is near all cells
+    Q = np.vstack([R[:150] * 1.01, rng.normal(size=(20, 3)) * 1e-3])
+    real = spark.createDataFrame([tuple(map(float, r)) for r in R], "x double, y double, z double")
+    synth = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(Q)], "i long, x double, y double, z double")
+    index = nn.NearestIndex(real, ["x", "y", "z"], standardize=False, leaf_size=100)
+    start = synth.select("x", "y", "z").toDF(*index.z).withColumns({"bucket": F.lit(-1).cast("long"), "d2": F.lit(1.1)})
+    listed = index._cells(start, 1, nn._FIRST)
+    assert len(index.cell) > 4 * nn._FIRST and listed.where("more").count()
+    got = {r["i"]: r["dcr"] for r in index.search(synth, ["i"]).collect()}
+    want = _brute(R, Q)
+    assert max(abs(got[i] - want[i]) for i in range(len(Q))) < 1e-12
