@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.sources.io import table
+from cohortlens.sources.io import spread, table
 
 # Row key of the lineitem views (l_orderkey, l_linenumber alone repeat).
 LI_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -82,7 +82,7 @@ def requests(spark: SparkSession, d: str) -> DataFrame:
     tables hold no requests). The text varies with the key so that every
     parser branch is hit: first-integer quirk, both genders, over/under/
     range, known, unknown and severity words, and empty text."""
-    c = table(spark, d, "customer")
+    c = spread(table(spark, d, "customer").select("c_custkey", "c_nationkey"))
     k = F.col("c_custkey")
     s = lambda x: x.cast("string")
     n = s(5 + k % 50)

@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df`` in tasks of about ``rows`` rows: for tables of few bytes a row, of which a file
+    split holds millions, in front of work that costs much per row."""
+    parts = -(-df.count() // rows)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def na_to_null(c: Column, tokens=("NA", "")) -> Column:
     """NULL when the (trimmed) text is one of ``tokens``."""
     return F.when(F.trim(c).isin(list(tokens)), F.lit(None)).otherwise(c)

@@ -82,3 +82,15 @@ def test_read_bundle_files(spark):
     assert [r["bundle_id"][-7:] for r in bundles.orderBy("bundle_id").collect()] == ["b0.json", "b1.json"]
     assert read_bundles(spark, tempfile.mkdtemp(), max_files=2).count() == 0
     assert fhir.flatten_raw(bundles).select(fhir.patient_age(F.col("birthDate"))).first()[0] == 45
+
+
+def test_requests_are_dealt_to_tasks_by_their_number(spark, tmp_path):
+    """A file split holds millions of customers; a task gets about 20,000 of their requests."""
+    from cohortlens.plans import q_cohort
+
+    rows = spark.range(50_001).selectExpr("id AS c_custkey", "id % 25 AS c_nationkey").coalesce(1)
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    got = q_cohort.q_extract_json(spark, str(tmp_path))
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 50_001 and len(sizes) == 3 and max(sizes) < 20_000
+    assert got.select("request_id").distinct().count() == 50_001
