@@ -131,3 +131,38 @@ def test_only_queries_with_cells_left_go_on(spark):
     got = {r["i"]: r["dcr"] for r in index.search(synth, ["i"]).collect()}
     want = _brute(R, Q)
     assert max(abs(got[i] - want[i]) for i in range(len(Q))) < 1e-12
+
+
+def test_rows_without_another_cell_in_reach_are_done_at_home(spark, monkeypatch):
+    """Cells far apart: every row is answered in the bucket it falls into, columns to keep and
+    missing features included, and none goes on; copies come back one by one."""
+    rng = np.random.default_rng(19)
+    R = np.vstack([rng.random((400, 2)) + 1000.0 * k for k in range(8)])
+    Q = np.vstack([R[::40] + 1e-3, np.tile([[0.5, 0.5]], (500, 1))])
+    real = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(R)], "rid long, x double, y double")
+    rows = [(2 ** 60 + i % 90, [i, None], *map(float, q)) for i, q in enumerate(Q)] + [(None, None, None, 1.0)]
+    synth = spark.createDataFrame(rows, "p long, bucket array<int>, x double, y double")
+    gone_on = []
+    search = nn.NearestIndex._search
+    monkeypatch.setattr(nn.NearestIndex, "_search", lambda self, q, chunk: gone_on.append(q.count()) or search(self, q, chunk))
+    for payload in (None, "rid"):
+        index = nn.NearestIndex(real, ["x", "y"], standardize=False, leaf_size=400, payload=payload)
+        got = index.search(synth, ["p", "bucket"], chunk=50).collect()
+        want = _brute(R, Q)
+        assert len(index.cell) >= 8 and len(got) == len(rows)
+        assert sum(r["dcr"] is None and r["p"] is None and r["nn_payload"] is None for r in got) == 1
+        for r in got:
+            if r["p"] is not None:
+                i = r["bucket"][0]
+                assert r["p"] == 2 ** 60 + i % 90 and r["bucket"] == [i, None] and abs(r["dcr"] - want[i]) < 1e-12
+                if payload:
+                    assert int(r["nn_payload"]) == int(((R - Q[i]) ** 2).sum(axis=1).argmin())
+    assert sum(gone_on) < 40             # cells of one cluster, if the tree cut it
+
+
+def test_copies_of_a_point_keep_the_smallest_payload(spark):
+    """Copies of a point, spread over partitions, answer with the smallest payload (as text)."""
+    real = spark.range(3000, numPartitions=7).selectExpr("id", "CAST(id % 3 AS double) AS x", "CAST(0 AS double) AS y")
+    synth = spark.range(6).selectExpr("id AS i", "CAST(id % 3 AS double) AS x", "CAST(0.25 AS double) AS y")
+    got = nn.nearest_distance(real, synth, ["x", "y"], ["i"], standardize=False, payload="id").collect()
+    assert {r["i"]: (r["dcr"], r["nn_payload"]) for r in got} == {i: (0.25, min(map(str, range(i % 3, 3000, 3)))) for i in range(6)}
