@@ -1,16 +1,15 @@
 """Quality classifier: interpolated modified Kneser-Ney bigram model of
 trusted text, scored by sharded count joins.
 
-Training. Bigrams of a bounded number of trusted documents (labelled 1; the
-bound is ``max_train_docs``, chosen by hash) are counted; discounts come from
-their counts of counts, lower-order probabilities from continuation counts,
+Training. Bigrams of all trusted documents (labelled 1) but every fifth, chosen
+by hash, which sets the thresholds, are counted; discounts come from their counts of counts, lower-order probabilities from continuation counts,
 unseen words share the mass left over. For scoring the model is written as a
 sum: log p(w|v) of an unseen bigram is log backoff(v) + log p(w), a seen one
 adds a correction. So the log-likelihood of a document is a constant per
 token plus a value for each of its words and each of its seen bigrams, and the
 model is a table from n-gram to value.
 
-Scoring. The model's words are bounded by the training text; if they are few
+Scoring. If the model's words are few
 enough (``LOCAL_WORDS``) every task holds them, adds up the words' values
 itself and asks only for bigrams of known words, as no other can have been
 seen; else words go through the shards as well. Blocks of documents send their
@@ -35,8 +34,9 @@ rows that repeat an id are scored as they are; documents with contradictory
 labels are not trusted; without trusted text nothing is rejected and perplexity
 is NULL; an empty table gives no rows; other columns are not read.
 
-N-gram fingerprints have 40 bits and the shard's: as the model is bounded, so is
-the chance that an unseen n-gram meets a seen one (1e-5 at 10 million n-grams).
+N-gram fingerprints have 40 bits and the shard's, and shards follow the model's
+rows up to one per ``SHARD_BYTES`` of text: an unseen n-gram meets a seen one by a
+chance of the rows of a shard in 2 ** 40 (1e-6 at a million rows).
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ from cohortlens.llm.bpe import HashIndex
 from cohortlens.llm.tables import stored
 from cohortlens.llm.words import mix, ngram_hashes, text_slices, word_hashes
 
-MAX_TRAIN_DOCS = 10_000
+TRAIN_SHARE = 0.8     # of the trusted documents; the others set the thresholds
 BLOCK_BYTES = 12 << 20
 SHARD_BYTES = 64 << 20
 SHARD_ROWS = 4096
@@ -357,17 +357,15 @@ def length_class(n: Column) -> Column:
     return F.when(n < 8, 0).when(n < 32, 1).otherwise(2)
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, quantile: float = QUANTILE,
+def classify(docs: DataFrame, labels: DataFrame, train_share: float = TRAIN_SHARE, quantile: float = QUANTILE,
              slack: float = SLACK, id_col: str = "doc_id", lang_col: str = "lang", column: str = "text") -> DataFrame:
     """One row per document: doc_id, lang, n_tokens, perplexity, threshold,
     rejected. ``labels`` holds (doc_id, quality), 1 for trusted."""
     trusted = (labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id"))
                .agg(F.min("quality").alias("q")).where("q = 1").select("id"))
-    share = min(1.0, max_train_docs / max(trusted.count(), 1)) * 0.8
-    in_train = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    chosen = trusted.where(in_train)                         # about max_train_docs rows at most
+    in_train = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(train_share * (1 << 20))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), column)
-    model = train(texts.join(F.broadcast(chosen), "id", "left_semi"), column)
+    model = train(texts.join(trusted.where(in_train), "id", "left_semi"), column)
     scores = stored(perplexity(docs, model, id_col, lang_col, column), "perplexity")
     held_out = scores.join(trusted.where(~in_train), "id").where("perplexity IS NOT NULL")
     q = F.percentile_approx("perplexity", F.lit(quantile), 10_000)

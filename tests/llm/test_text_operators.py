@@ -330,6 +330,15 @@ def test_classify(spark):
     assert kn_quality.classify(cases.documents(spark, rows).limit(0), labels).count() == 0
 
 
+def test_classify_trains_on_all_trusted_text(spark, monkeypatch):
+    """Four fifths of the trusted documents, however many there are."""
+    docs = spark.range(15000).selectExpr("id AS doc_id", "'en' AS lang", "concat('word ', id) AS text")
+    trained = []
+    monkeypatch.setattr(kn_quality, "train", lambda d, column: trained.append(d.count()))
+    kn_quality.classify(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    assert 11500 < trained[0] < 12500
+
+
 # -- scans -------------------------------------------------------------------------
 
 def test_secret_scan(spark):
