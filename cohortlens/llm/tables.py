@@ -16,12 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back:
     lineage is cut and a lost executor costs nothing that was written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -76,16 +76,22 @@ def hash64(values: pa.Array) -> np.ndarray:
 def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words (runs without ASCII white space) of a string
     column in order, and the word offsets of its rows."""
+    words, of, first = word_numbers(column, lower)
+    return words[of], first
+
+
+def word_numbers(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_hashes``, the hashes of distinct words and the number of each word among them."""
     data, offs = buffer_of(column)
     if lower:
         data = _LOWER[data]
     starts, ends, first = spans_of(data, offs, _SPACE)
     if not len(starts):
-        return np.empty(0, np.uint64), first
+        return np.empty(0, np.uint64), np.empty(0, np.int64), first
     kept = data[~_SPACE[data]]
     bounds = np.concatenate(([0], np.cumsum(ends - starts)))
     coded = pieces(kept, bounds).dictionary_encode()
-    return hash64(coded.dictionary)[np.asarray(coded.indices)], first
+    return hash64(coded.dictionary), np.asarray(coded.indices), first
 
 
 def mix(x: np.ndarray) -> np.ndarray:

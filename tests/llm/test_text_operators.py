@@ -339,6 +339,64 @@ def test_classify_trains_on_all_trusted_text(spark, monkeypatch):
     assert 11500 < trained[0] < 12500
 
 
+@pytest.mark.parametrize("words, pairs", [(10 ** 6, 10 ** 6), (10 ** 6, 40), (40, 40), (0, 0)])
+def test_words_and_bigrams_held_or_asked(spark, monkeypatch, words, pairs):
+    """What tasks hold, frequent words and bigrams, does not change a result; held bigrams are not asked for."""
+    texts = sample_texts(120)
+    want, _, _ = brute_perplexity([t for _, t in texts[:60]], [t for _, t in texts])
+    monkeypatch.setattr(kn_quality, "LOCAL_WORDS", words)
+    monkeypatch.setattr(kn_quality, "LOCAL_BIGRAMS", pairs)
+    monkeypatch.setattr(kn_quality, "SHARD_BYTES", 4096)
+    monkeypatch.setattr(kn_quality, "SHARD_ROWS", 64)
+    monkeypatch.setattr(kn_quality, "COUNT_TOKENS", 500)
+    monkeypatch.setattr(kn_quality, "HELD_PAIRS", 300)
+    monkeypatch.setattr(kn_quality, "SPREAD", 5)
+    asked, requests = [], kn_quality.requests
+    monkeypatch.setattr(kn_quality, "requests", lambda *a: asked.append(requests(*a)) or asked[-1])
+    model = kn_quality.train(cases.documents(spark, texts[:60]).repartition(5))
+    assert (model.rare is None) == (words > 40)
+    got = {r.id: r.perplexity for r in kn_quality.perplexity(cases.documents(spark, texts), model).collect()}
+    for (i, _), x in zip(texts, want):
+        assert got[i] == pytest.approx(x, rel=1e-6)
+    assert (asked[0].where("blob IS NOT NULL").count() == 0) == (pairs > 40)
+
+
+def test_counts_round_trip():
+    rng = np.random.default_rng(2)
+    v, w = (np.where(rng.random(4000) < 0.9, rng.integers(0, 90, 4000), rng.integers(1 << 62, 1 << 63, 4000)).astype(np.uint64) for _ in "vw")
+    v, w, c = kn_quality.merged(v, w, rng.integers(1, 1000, 4000))
+    for got, x in zip(kn_quality.decode_counts(kn_quality.encode_counts(v, w, c)), (v, w, c)):
+        assert (got == x).all()
+
+
+def test_squeezed_arrays():
+    arrays = [np.sort(np.random.default_rng(3).integers(0, 1 << 64, 1000, dtype=np.uint64)), np.arange(9, dtype=np.uint32), np.array([0.5, -1.0]),
+              np.empty(0, np.uint64)]
+    for got, x in zip(kn_quality.restored(kn_quality.squeezed(*arrays)), arrays):
+        assert got.dtype == x.dtype and (got == x).all()
+
+
+@pytest.mark.parametrize("rows", [4096, 0])
+def test_training_texts_are_not_shuffled(spark, monkeypatch, rows):
+    """Trusted texts are read where they lie, unless their ids take too many rows; ids may repeat, be NULL or negative."""
+    monkeypatch.setattr(kn_quality, "BITMAPS", rows)
+    ids = [*range(-40, 400), 32768, 32769, 65536, -32768, 5_000_000_000, None, 7, 7]
+    docs = cases.documents(spark, [(i, f"word {i}") for i in ids])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in set(ids) if i is not None] + [(None, 1), (9, 0)], "doc_id long, quality int")
+    trained = []
+    monkeypatch.setattr(kn_quality, "train", lambda d, column: trained.append(d))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kn_quality.classify(docs, labels, train_share=1.0)
+        plan = trained[0]._jdf.queryExecution().executedPlan().toString()
+        got = sorted(r["id"] for r in trained[0].collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted(i for i in ids if i is not None and i % 3 == 0 and i != 9)
+    assert ("SortMergeJoin" in plan) == (rows == 0)
+
+
 # -- scans -------------------------------------------------------------------------
 
 def test_secret_scan(spark):
