@@ -71,7 +71,7 @@ SHARD_ROWS = 4096
 KEY_BITS = 40
 LOCAL_WORDS = 2_000_000
 LOCAL_BIGRAMS = 1 << 21
-HELD_PAIRS = 1 << 21  # bigrams a task counts before it sends them
+HELD_PAIRS = 1 << 20  # bigrams a task counts before it sends them
 COUNT_TOKENS = 1 << 22    # tokens of trusted text per group of counts
 SPREAD = 4096         # most frequent first words, whose bigrams are dealt by both words
 BITMAPS = 4096        # rows of 32,768 ids
