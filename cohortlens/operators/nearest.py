@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 import pickle
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -249,10 +249,9 @@ def distinct_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, of
 
 
-def matrix(table, cols: list[str]) -> np.ndarray:
-    """Double columns of an Arrow table or batch as rows of a matrix; NULL is NaN."""
-    return np.column_stack([np.asarray(table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch)
-                                       else table.column(c).to_numpy(), dtype=np.float64) for c in cols])
+def matrix(table: pa.Table, cols: list[str]) -> np.ndarray:
+    """Double columns of an Arrow table as rows of a matrix; NULL is NaN."""
+    return np.column_stack([np.asarray(table.column(c).to_numpy(), dtype=np.float64) for c in cols])
 
 
 class NearestIndex:
@@ -308,13 +307,13 @@ class NearestIndex:
 
         def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
-                if payload and f.duplicated(z).any():      # copies leave a batch as one row, a bucket's task merges the rest
+                if f.duplicated(z).any():                  # copies leave a batch as one row, a bucket's task merges the rest
                     f = f.sort_values("p", kind="stable", na_position="last").drop_duplicates(z)
                 yield f.assign(bucket=walk(f[z].to_numpy(dtype=np.float64), tree))
 
         # a minimum of texts would sort the whole table: with a payload rows become distinct in tasks
-        distinct = rows if payload else rows.dropDuplicates(z)
-        self.points = reuse(distinct.mapInPandas(deal, f"{self.columns}{self.text}, bucket long"))
+        self.points = reuse(rows.mapInPandas(deal, f"{self.columns}{self.text}, bucket long") if payload else
+                            rows.dropDuplicates(z).withColumn("bucket", self._place(lambda x: walk(x, tree))))
         boxes = self._boxes(self.points, "bucket").collect()       # about MAX_CELLS rows
         self.empty = not boxes
         self.cell = np.array([b["bucket"] for b in boxes], dtype=np.int64)
@@ -337,6 +336,18 @@ class NearestIndex:
             ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
         return ok
 
+    def _place(self, cells: Callable[[np.ndarray], np.ndarray]) -> Column:
+        """The cell of every row, -1 where a feature is missing. Tasks' Python gets the
+        vectors and gives back a number: to send whole rows there and back costs more than the search for the cell."""
+        def place(*features: pd.Series) -> pd.Series:
+            x = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
+            there = np.flatnonzero(~np.isnan(x).any(axis=1))
+            cell = np.full(len(x), -1, dtype=np.int64)
+            cell[there] = cells(x[there])
+            return pd.Series(cell)
+
+        return F.pandas_udf(place, "long")(*self.z)
+
     def _boxes(self, points: DataFrame, by: str) -> DataFrame:
         return points.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
                                       *[F.min(c).alias(f"lo{i}") for i, c in enumerate(self.z)],
@@ -456,16 +467,7 @@ class NearestIndex:
         if self.splits:
             homes = self._targets(self._homes(rows.select(*z).where(self.valid()).dropDuplicates(z)), True)
             return rows.join(homes, z, "left").withColumn("bucket", F.coalesce("bucket", F.lit(-1)))
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                Q = matrix(b, z)
-                there = np.flatnonzero(~np.isnan(Q).any(axis=1))
-                cell = np.full(len(Q), -1, dtype=np.int64)
-                cell[there] = home_cells(Q[there], tree, lo, hi, ids)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], [*b.schema.names, "bucket"])
-
-        return rows.mapInArrow(place, T.StructType([*rows.schema.fields, T.StructField("bucket", T.LongType())]))
+        return rows.withColumn("bucket", self._place(lambda x: home_cells(x, tree, lo, hi, ids)))
 
     def _homes(self, queries: DataFrame) -> DataFrame:
         """(z…) → (z…, home, d2, cell): the cell the driver's tree deals a query to."""

@@ -166,3 +166,23 @@ def test_copies_of_a_point_keep_the_smallest_payload(spark):
     synth = spark.range(6).selectExpr("id AS i", "CAST(id % 3 AS double) AS x", "CAST(0.25 AS double) AS y")
     got = nn.nearest_distance(real, synth, ["x", "y"], ["i"], standardize=False, payload="id").collect()
     assert {r["i"]: (r["dcr"], r["nn_payload"]) for r in got} == {i: (0.25, min(map(str, range(i % 3, 3000, 3)))) for i in range(6)}
+
+
+def test_only_vectors_are_sent_to_python_to_find_cells(spark):
+    """Rows are placed by a column computed from their vectors: the columns to keep stay in the JVM.
+    Missing features get no cell, and points, copies among them, the cell their tree deals them to."""
+    rng = np.random.default_rng(23)
+    R = np.vstack([rng.normal(size=(900, 2)), np.tile([[0.5, 0.25]], (60, 1))])
+    Q = [*rng.normal(size=(200, 2)).tolist(), [1e6, -1e6], [None, 1.0], [float("nan"), 1.0]]
+    real = spark.createDataFrame([tuple(map(float, r)) for r in R], "x double, y double")
+    index = nn.NearestIndex(real, ["x", "y"], standardize=False, leaf_size=100)
+    points = np.array([[*r] for r in index.points.select(*index.z, "bucket").collect()])
+    assert len(index.cell) > 4 and len(points) == 901
+    assert (nn.walk(points[:, :2], index.tree) == points[:, 2]).all()
+    rows = spark.createDataFrame([(i, "kept " * 20, *q) for i, q in enumerate(Q)], "i long, text string, x double, y double")
+    placed = index._placed(rows.select("i", "text", *index.vectors()))
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan and "MapInPandas" not in plan
+    got = {r["i"]: r["bucket"] for r in placed.collect()}
+    want = nn.home_cells(np.array(Q[:201]), index.tree, index.lo, index.hi, index.cell)
+    assert [got[i] for i in range(len(Q))] == [*want.tolist(), -1, -1]
